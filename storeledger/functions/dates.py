@@ -13,17 +13,23 @@ _TIME = r"[T ](?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]{1,9})?)?"
 _ZONE = r"Z|[+-][0-9]{2}:?[0-9]{2}"
 _ORDER_DATE = rf"^{_DAY}(?:{_TIME}(?:{_ZONE})?)?$"
 _WITH_ZONE = rf"^(.*?)({_ZONE})?$"
+_DAY_PART = r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}"
 _PLAIN_DAY = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
 def order_day(text: Column) -> Column:
     """The calendar day, time of day dropped; null if it cannot be read."""
-    day = F.try_to_date(
-        F.replace(F.regexp_extract(text, r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}", 0), F.lit("/"), F.lit("-")),
-        "yyyy-M-d",
+    dashed = F.replace(F.regexp_extract(text, _DAY_PART, 0), F.lit("/"), F.lit("-"))
+    day = F.when(text.rlike(_PLAIN_DAY), text.try_cast("date")).when(
+        text.rlike(_ORDER_DATE), dashed.try_cast("date")
     )
     in_range = day.between(F.lit(MIN_ORDER_DATE).cast("date"), F.lit(MAX_ORDER_DATE).cast("date"))
-    return F.when(text.rlike(_ORDER_DATE) & in_range, day)
+    return F.when(in_range, day)
+
+
+def iso_day(text: Column) -> Column:
+    """The calendar day as YYYY-MM-DD text."""
+    return order_day(text).cast("string")
 
 
 def order_day_layout(text: Column) -> Column:

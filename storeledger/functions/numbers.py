@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 _INF = float("inf")
 
 # The number forms accepted. A cast alone would also take '1d' or hex.
-_PLAIN_NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+# The first form cannot overflow a double; the second can.
+_PLAIN_NUMBER = r"^\s*[+-]?(?:[0-9]{1,300}(?:\.[0-9]*)?|\.[0-9]+)\s*$"
+_LARGE_NUMBER = r"^\s*[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 _INFINITY = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 
 
@@ -16,11 +18,12 @@ def to_number(text: Column) -> Column:
     """Text to double; null for anything that is not a number.
 
     A literal too large for a double is not a number; a written infinity is.
-    Negative zero becomes zero so that equal numbers also group together.
     """
-    value = text.try_cast("double") + F.lit(0.0)
-    return F.when(text.rlike(_PLAIN_NUMBER) & (F.abs(value) < _INF), value).when(
-        text.rlike(_INFINITY), value
+    value = text.try_cast("double")
+    return (
+        F.when(text.rlike(_PLAIN_NUMBER), value)
+        .when(text.rlike(_LARGE_NUMBER) & (F.abs(value) < _INF), value)
+        .when(text.rlike(_INFINITY), value)
     )
 
 

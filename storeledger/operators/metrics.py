@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.contract import SUCCESS_STATUS, TOP_PRODUCTS
-from storeledger.functions import exact_product_sum, order_day, python_round
+from storeledger.functions import exact_product_sum, iso_day, python_round
 from storeledger.operators.validate import is_good
 
 FILE = ("source_key",)
@@ -32,7 +32,7 @@ def _rate(part: Column, whole: Column) -> Column:
 
 def daily_revenue(good: DataFrame, keys: tuple[str, ...] = FILE) -> DataFrame:
     """Revenue per order date, all payment states included."""
-    day = F.date_format(order_day(F.col("order_date")), "yyyy-MM-dd").alias("order_date")
+    day = iso_day(F.col("order_date")).alias("order_date")
     return (
         good.select(*keys, day, "quantity", "unit_price")
         .groupBy(*keys, "order_date")

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from storeledger.contract import (
     DUPLICATE_ROW,
+    ERROR_CODES,
     INPUT_COLUMNS,
     PAYMENT_STATUSES,
     REQUIRED_TEXT_COLUMNS,
 )
-from storeledger.functions import is_blank, na_to_null, order_day, to_number
+from storeledger.functions import is_blank, iso_day, na_to_null, to_number
 
 NUMERIC_COLUMNS = ("quantity", "unit_price")
 
@@ -42,54 +43,75 @@ def typed(raw: DataFrame) -> DataFrame:
     The text of a field that is not a number is kept aside (`<name>_junk`), since
     two rows that differ only there are not copies of each other.
     """
-    text = {c: na_to_null(F.col(c)) for c in INPUT_COLUMNS}
     keep = [c for c in raw.columns if c not in INPUT_COLUMNS]
-    nulled = raw.select(*keep, *[text[c].alias(c) for c in INPUT_COLUMNS])
-    out = {c: F.col(c) for c in INPUT_COLUMNS}
-    for c in NUMERIC_COLUMNS:
-        out[c] = to_number(F.col(c))
-        out[f"{c}_junk"] = F.when(to_number(F.col(c)).isNull(), F.col(c))
-    return nulled.select(*keep, *[e.alias(n) for n, e in out.items()])
+    texts = raw.select(*keep, *[na_to_null(F.col(c)).alias(c) for c in INPUT_COLUMNS])
+    numbers = texts.select(
+        "*", *[to_number(F.col(c)).alias(f"{c}_number") for c in NUMERIC_COLUMNS]
+    )
+    return numbers.select(
+        *keep,
+        *[F.col(f"{c}_number" if c in NUMERIC_COLUMNS else c).alias(c) for c in INPUT_COLUMNS],
+        *[
+            F.when(F.col(f"{c}_number").isNull(), F.col(c)).alias(f"{c}_junk")
+            for c in NUMERIC_COLUMNS
+        ],
+    )
+
+
+def error_mask() -> Column:
+    """The rules a typed row breaks, one bit per code."""
+    mask = F.lit(0)
+    for code, broken in row_rules():
+        mask = mask + F.when(broken, F.lit(_bit(code))).otherwise(F.lit(0))
+    return mask
+
+
+def error_text(mask: Column) -> Column:
+    """The codes of a mask joined by ';', in report order."""
+    return F.concat_ws(
+        ";", *[F.when(mask.bitwiseAND(_bit(code)) != 0, F.lit(code)) for code in ERROR_CODES]
+    )
+
+
+def _bit(code: str) -> int:
+    return 1 << ERROR_CODES.index(code)
 
 
 def validate(raw: DataFrame, carry_max: tuple[str, ...] = ()) -> DataFrame:
     """One row per distinct row of a file.
 
     Input: `source_key` and the seven text columns. Output: `source_key`, the
-    typed columns, `copies`, and `row_errors`: the codes of the first copy joined
-    by ';', empty for a good row. Columns named in `carry_max` are folded by max.
+    typed columns, `copies`, and `error_mask`: the rules the first copy breaks.
+    The mask follows from the row but is folded as an aggregate: a filter on it
+    then runs on the folded rows instead of re-evaluating every rule on raw ones.
+    Columns named in `carry_max` are folded by max.
     """
     junk = [f"{c}_junk" for c in NUMERIC_COLUMNS]
-    folded = (
+    return (
         typed(raw)
+        .withColumn("error_mask", error_mask())
         .groupBy("source_key", *INPUT_COLUMNS, *junk)
         .agg(
             F.count(F.lit(1)).alias("copies"),
+            F.max("error_mask").alias("error_mask"),
             *[F.max(c).alias(c) for c in carry_max],
         )
-    )
-    codes = F.array_compact(F.array(*[F.when(cond, F.lit(code)) for code, cond in row_rules()]))
-    return folded.select(
-        "source_key",
-        *INPUT_COLUMNS,
-        "copies",
-        *carry_max,
-        F.array_join(codes, ";").alias("row_errors"),
+        .drop(*junk)
     )
 
 
 def is_good() -> Column:
-    return F.col("row_errors") == ""
+    return F.col("error_mask") == 0
 
 
 def good_rows(validated: DataFrame) -> DataFrame:
     """First copies that break no rule, as judged (order_date still as written)."""
-    return validated.filter(is_good()).drop("row_errors", "copies")
+    return validated.filter(is_good()).drop("error_mask", "copies")
 
 
 def stored_good_rows(validated: DataFrame) -> DataFrame:
     """The storage form: seven columns, order_date as an ISO day."""
-    day = F.date_format(order_day(F.col("order_date")), "yyyy-MM-dd")
+    day = iso_day(F.col("order_date"))
     return good_rows(validated).select(
         "source_key", *[(day if c == "order_date" else F.col(c)).alias(c) for c in INPUT_COLUMNS]
     )
@@ -97,67 +119,67 @@ def stored_good_rows(validated: DataFrame) -> DataFrame:
 
 def bad_rows(validated: DataFrame) -> DataFrame:
     """Every bad row, copies written out, with `validation_errors`."""
-    columns = ["source_key", *INPUT_COLUMNS]
-    firsts = validated.filter(~is_good()).select(
-        *columns, F.col("row_errors").alias("validation_errors")
-    )
-    copies = validated.filter(F.col("copies") > 1).select(
-        *columns,
-        F.concat_ws(";", F.lit(DUPLICATE_ROW), F.nullif(F.col("row_errors"), F.lit(""))).alias(
-            "validation_errors"
-        ),
-        (F.col("copies") - 1).alias("times"),
-    )
-    return firsts.unionByName(repeat_rows(copies, "times"))
+    first_bad = F.when(is_good(), F.lit(2)).otherwise(F.lit(1))
+    return _with_errors(write_out_copies(validated, first_bad))
 
 
 def validated_rows(validated: DataFrame) -> DataFrame:
     """Every row of every file with its `validation_errors` (empty for good rows)."""
-    good = good_rows(validated).select(
-        "source_key", *INPUT_COLUMNS, F.lit("").alias("validation_errors")
-    )
-    return good.unionByName(bad_rows(validated))
+    return _with_errors(write_out_copies(validated, F.lit(1)))
 
 
-def repeat_rows(rows: DataFrame, times: str) -> DataFrame:
-    """Write each row out `times` times.
+def _with_errors(copied: DataFrame) -> DataFrame:
+    duplicate = F.when(F.col("copy") > 1, F.lit(_bit(DUPLICATE_ROW))).otherwise(F.lit(0))
+    text = error_text(F.col("error_mask").bitwiseOR(duplicate))
+    return copied.select("source_key", *INPUT_COLUMNS, text.alias("validation_errors"))
 
-    Rows repeated beyond COPIES_PER_TASK are first cut into pieces and the pieces
-    spread over the cluster, so that no task writes one hot group alone.
-    """
-    n = F.col(times)
-    limit = F.lit(COPIES_PER_TASK)
-    few = rows.filter(n <= limit)
-    many = rows.filter(n > limit)
-    pieces = many.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / limit))))
-    pieces = pieces.withColumn(times, F.least(limit, n - F.col("_piece") * limit))
-    # Round-robin would be undone by a retry in another order; the key is stable.
-    pieces = pieces.repartition("source_key", *INPUT_COLUMNS, "_piece").drop("_piece")
-    return _write_out(few, times).unionByName(_write_out(pieces, times))
 
+def write_out_copies(validated: DataFrame, first: Column) -> DataFrame:
+    """One row per copy from number `first` on, numbered in `copy`.
 
-def _write_out(rows: DataFrame, times: str) -> DataFrame:
-    copies = F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))
-    return rows.withColumn("_copy", copies).drop("_copy", times)
+    A row repeated beyond COPIES_PER_TASK is first cut into ranges of copies and
+    the ranges are spread over the cluster, so that no task writes a hot group alone.
+    """
+    limit = F.lit(COPIES_PER_TASK)
+    ranged = (
+        validated.withColumn("_from", first.cast("bigint"))
+        .filter(F.col("_from") <= F.col("copies"))
+        .withColumn("_to", F.col("copies"))
+    )
+    few = ranged.filter(F.col("copies") <= limit)
+    starts = F.sequence(F.col("_from"), F.col("_to"), limit.cast("bigint"))
+    many = (
+        ranged.filter(F.col("copies") > limit)
+        .withColumn("_from", F.explode(starts))
+        .withColumn("_to", F.least(F.col("_from") + limit - 1, F.col("_to")))
+        .repartition("source_key", *INPUT_COLUMNS, "_from")
+    )
+    return few.unionByName(many).withColumn(
+        "copy", F.explode(F.sequence(F.col("_from"), F.col("_to")))
+    )
 
 
 def error_profile(validated: DataFrame) -> DataFrame:
     """Rows per file and code. Counts copies without writing them out."""
-    firsts = validated.filter(~is_good()).select(
-        "source_key", F.explode(F.split("row_errors", ";")).alias("code"), F.lit(1).alias("n")
-    )
-    copies = validated.filter(F.col("copies") > 1)
-    flagged = copies.select(
-        "source_key", F.lit(DUPLICATE_ROW).alias("code"), (F.col("copies") - 1).alias("n")
-    )
-    repeated = copies.filter(~is_good()).select(
-        "source_key",
-        F.explode(F.split("row_errors", ";")).alias("code"),
-        (F.col("copies") - 1).alias("n"),
+    mask, further = F.col("error_mask"), F.col("copies") - 1
+    # A row's own codes hold for each of its copies; the duplicate code for all but one.
+    counts = F.array(
+        *[
+            F.struct(
+                F.lit(code).alias("code"),
+                (
+                    further
+                    if code == DUPLICATE_ROW
+                    else F.when(mask.bitwiseAND(_bit(code)) != 0, F.col("copies")).otherwise(0)
+                ).alias("n"),
+            )
+            for code in ERROR_CODES
+        ]
     )
     return (
-        firsts.unionByName(flagged)
-        .unionByName(repeated)
+        validated.filter(~is_good() | (F.col("copies") > 1))
+        .select("source_key", F.inline(counts))
+        .filter("n > 0")
         .groupBy("source_key", "code")
         .agg(F.sum("n").alias("rows"))
     )

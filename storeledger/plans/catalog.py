@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from storeledger.contract import DEFAULT_ERROR_THRESHOLD, INPUT_COLUMNS
 from storeledger.operators import alerts, metrics, summary, validate
 from storeledger.plans import reports
+from storeledger.plans.staging import stage
 from storeledger.sources import names
 from storeledger.sources.workload import SALES_RAW_SQL, VALIDATED_SQL, sales_raw
 
@@ -208,7 +209,8 @@ FROM counters c""",
     ),
 )
 def file_summary(spark, sf_dir):
-    records = summary.file_summary(validated(spark, sf_dir), F.lit("-"), F.lit(0.0))
+    rows = stage(validated(spark, sf_dir), "validated")
+    records = summary.file_summary(rows, F.lit("-"), F.lit(0.0))
     orders = F.aggregate(
         "orders_per_customer", F.lit(0).cast("bigint"), lambda n, c: n + c.order_count
     )

@@ -27,7 +27,8 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"
     )
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Both tables grow with the data, so neither side is broadcast.
+    joined = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
     status = (
         F.when(F.col("o_orderstatus") == "F", "paid")
@@ -39,7 +40,7 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.when(_every(83), " ").otherwise(F.col("o_custkey").cast("string")).alias("customer_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
-        F.when(~_every(89), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"),
+        F.when(~_every(89), F.col("o_orderdate").cast("date").cast("string")).alias("order_date"),
         F.when(_every(53), F.lit(None))
         .when(_every(59), "0")
         .when(_every(61), "-1")
@@ -56,7 +57,7 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(status)
         .alias("payment_status"),
         F.lpad((F.col("l_suppkey") % 20).cast("string"), 2, "0").alias("store"),
-        F.date_format(F.trunc("l_shipdate", "MONTH"), "yyyy-MM-dd").alias("date"),
+        F.trunc("l_shipdate", "MONTH").cast("string").alias("date"),
     )
     # The repeated rows come from the same scan and join, not from a second one.
     copies = F.when(_every(97), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
