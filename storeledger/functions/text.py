@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from storeledger.contract import NA_TOKENS, PYTHON_WHITESPACE
 
 
-def na_to_null(text: Column) -> Column:
-    """Null where the field text stands for a missing value."""
-    return F.when(~text.isin(*NA_TOKENS), text)
+_NA_LIST = ", ".join(f"'{token}'" for token in NA_TOKENS)
+
+
+def na_to_null(name: str) -> Column:
+    """The named text column, null where its text stands for a missing value."""
+    return F.expr(f"IF(`{name}` IN ({_NA_LIST}), NULL, `{name}`)").alias(name)
 
 
 def is_blank(text: Column) -> Column:

@@ -44,7 +44,7 @@ def typed(raw: DataFrame) -> DataFrame:
     two rows that differ only there are not copies of each other.
     """
     keep = [c for c in raw.columns if c not in INPUT_COLUMNS]
-    texts = raw.select(*keep, *[na_to_null(F.col(c)).alias(c) for c in INPUT_COLUMNS])
+    texts = raw.select(*keep, *[na_to_null(c) for c in INPUT_COLUMNS])
     numbers = texts.select(
         "*", *[to_number(F.col(c)).alias(f"{c}_number") for c in NUMERIC_COLUMNS]
     )

@@ -1,11 +1,15 @@
-"""Staged tables: written once to the shared work folder, read back by column."""
+"""Staged tables and size-checked broadcasts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from storeledger.session import new_work_path
 
+# Rows of a per-file table that may be sent to every executor (some 200 bytes each).
+MAX_BROADCAST_ROWS = 50_000
+
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several outputs read, and cut its lineage.
@@ -17,3 +21,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_work_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def row_count_up_to(df: DataFrame, limit: int) -> int:
+    """The row count, or limit + 1 for anything larger."""
+    return df.limit(limit + 1).count()
+
+
+def bounded_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark a staged table for broadcast if it is small; otherwise leave a shuffle join,
+    where adaptive execution splits skewed keys."""
+    return F.broadcast(df) if row_count_up_to(df, limit) <= limit else df.hint("merge")

@@ -21,6 +21,11 @@ def source_key(file_path: Column) -> Column:
     return F.regexp_extract(file_path, _UPLOAD, 1)
 
 
+def object_key(path: Column) -> Column:
+    """The path without scheme and bucket."""
+    return F.regexp_replace(path, r"^[A-Za-z0-9+.-]+:/+?(?:/[^/]*)?/+", "")
+
+
 def upload_name(key: Column) -> Column:
     """Last path segment, without a partition-column prefix."""
     return F.regexp_replace(F.substring_index(key, "/", -1), r"^[A-Za-z_]+=", "")
