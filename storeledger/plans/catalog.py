@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.contract import DEFAULT_ERROR_THRESHOLD, INPUT_COLUMNS
-from storeledger.operators import alerts, metrics, summary, validate
+from storeledger.operators import alerts, health, metrics, summary, validate, verdicts
 from storeledger.plans import reports
+from storeledger.plans.ingest import Ingested, ingest
+from storeledger.plans.report_batch import run_reports
 from storeledger.plans.staging import stage
-from storeledger.sources import names
-from storeledger.sources.workload import SALES_RAW_SQL, VALIDATED_SQL, sales_raw
+from storeledger.session import new_work_path
+from storeledger.sources import landing, manifest, names, tables
+from storeledger.sources.workload import (
+    OUTCOMES_SQL,
+    SALES_RAW_SQL,
+    VALIDATED_SQL,
+    sales_raw,
+    sales_rows,
+    table,
+    write_landing_zone,
+)
+from storeledger.streaming.arrivals import ingest_arrivals
+from storeledger.streaming.health import streaming_error_alarms
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -379,3 +394,307 @@ def report_rolling_7d(spark, sf_dir):
         (F.col("total_rows") * 0.25 + F.col("bad_rows")).alias("duration_ms"),
     )
     return reports.rolling_7d_metadata_summary(metadata, AS_OF)
+
+
+# --- Landing zone: files written from the order tables, then read back as uploads ------------
+
+
+@lru_cache(maxsize=None)
+def _landing_zone(spark: SparkSession, sf_dir: str) -> str:
+    root = new_work_path(spark, "landing")
+    write_landing_zone(spark, sf_dir, root)
+    return root
+
+
+@lru_cache(maxsize=None)
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[Ingested, str]:
+    output = new_work_path(spark, "tables")
+    found = ingest(spark, _landing_zone(spark, sf_dir), output, source_bucket="landing")
+    return found, output
+
+
+def _upload():
+    return names.upload_name(F.col("source_key")).alias("upload")
+
+
+def _landing_sql(body: str, *more: str) -> str:
+    return _sql(body, OUTCOMES_SQL, *more)
+
+
+@register(
+    "schema_verdicts",
+    _landing_sql(
+        "SELECT upload, CASE WHEN starts_with(error, 'Schema') OR home IN ('17', '18') THEN "
+        "CASE home WHEN '17' THEN 'Schema validation failed: [\"Missing columns: [''unit_price'']\"]' "
+        "ELSE 'Schema validation failed: [\"Extra columns not allowed: [''promo_code'', ''store_id'']\"]' END "
+        "END AS error FROM outcomes JOIN uploads USING (upload)"
+    ),
+)
+def schema_verdicts(spark, sf_dir):
+    zone = landing.Landing(_landing_zone(spark, sf_dir), dt.datetime.now(dt.timezone.utc))
+    files = landing.file_verdicts(spark, zone)
+    return files.groupBy(_upload()).agg(F.min("header_error").alias("error"))
+
+
+@register(
+    "landing_rows",
+    _sql(
+        f"""SELECT replace(source_key, 'store_13', 'shop_13') AS upload, COUNT(*) AS rows, {", ".join(
+            f"COUNT({c}) AS {c}" for c in INPUT_COLUMNS)},
+  COUNT(*) FILTER (store = '15' AND l_orderkey % 11 = 0) AS overlong
+FROM (SELECT * REPLACE (CASE WHEN store = '14' AND l_orderkey % 13 = 0 THEN '2024-13-45' ELSE order_date END
+  AS order_date) FROM sales_raw) WHERE store NOT IN ('17', '18') GROUP BY source_key"""
+    ),
+)
+def landing_rows(spark, sf_dir):
+    """Fields found per upload, by name whatever their order in the file."""
+    zone = landing.Landing(_landing_zone(spark, sf_dir), dt.datetime.now(dt.timezone.utc))
+    files = landing.file_verdicts(spark, zone)
+    rows = landing.raw_rows(spark, zone, files)
+    readable = files.filter("header_error IS NULL").select("source_key").distinct()
+    return (
+        rows.join(readable, "source_key", "left_semi")
+        .groupBy(_upload())
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count(c).alias(c) for c in INPUT_COLUMNS],
+            F.sum("overlong").alias("overlong"),
+        )
+    )
+
+
+@register(
+    "overlong_rows",
+    _landing_sql("SELECT upload FROM uploads WHERE overlong > 0"),
+)
+def overlong_rows(spark, sf_dir):
+    found, _ = _ingested(spark, sf_dir)
+    return found.outcomes.filter(F.col("error") == verdicts.OVERLONG).select(_upload())
+
+
+@register(
+    "file_outcomes",
+    _landing_sql(
+        """SELECT upload, store, "date", CASE WHEN error IS NULL THEN 'success' ELSE 'error' END AS status, error,
+  CASE WHEN error IS NULL THEN total_rows END AS total_rows,
+  CASE WHEN error IS NULL THEN good_rows END AS good_rows FROM outcomes"""
+    ),
+)
+def file_outcomes(spark, sf_dir):
+    found, _ = _ingested(spark, sf_dir)
+    results = found.results().select("source_key", "summary.total_rows", "summary.good_rows")
+    return found.outcomes.join(results, "source_key").select(
+        _upload(), "store", "date", "status", "error", "total_rows", "good_rows"
+    )
+
+
+@register(
+    "failure_alerts",
+    _landing_sql(
+        """SELECT 'pipeline_failure' AS event_type, 'landing' AS source_bucket, upload, error
+FROM outcomes WHERE error IS NOT NULL"""
+    ),
+)
+def failure_alerts(spark, sf_dir):
+    found, _ = _ingested(spark, sf_dir)
+    return found.failure_alerts.select("event_type", "source_bucket", _upload(), "error")
+
+
+_ACCEPTED = """accepted AS (SELECT source_key FROM uploads u JOIN outcomes o USING (upload)
+  JOIN (SELECT DISTINCT source_key FROM validated) ON source_key = upload WHERE o.error IS NULL)"""
+
+
+@register(
+    "sink_roundtrip",
+    _landing_sql(
+        f"""SELECT {_ROW}, store, "date" FROM good JOIN accepted USING (source_key)""", _ACCEPTED
+    ),
+)
+def sink_roundtrip(spark, sf_dir):
+    _, output = _ingested(spark, sf_dir)
+    return tables.read_good_data(spark, f"{output}/processed/good_data")
+
+
+@register(
+    "bad_data_roundtrip",
+    _landing_sql(
+        f"""SELECT {_ROW}, validation_errors, store, "date" FROM bad JOIN accepted USING (source_key)""",
+        _ACCEPTED,
+    ),
+)
+def bad_data_roundtrip(spark, sf_dir):
+    _, output = _ingested(spark, sf_dir)
+    return tables.read_bad_data(spark, f"{output}/errors")
+
+
+@register(
+    "metadata_roundtrip",
+    _landing_sql(
+        """SELECT c.store, c."date", total_rows, good_rows, bad_rows, bad_row_rate, payment_success_rate,
+  (SELECT COUNT(*) FROM daily d WHERE d.source_key = c.source_key) AS days,
+  (SELECT COUNT(*) FROM customers u WHERE u.source_key = c.source_key) AS customers
+FROM counters c JOIN accepted USING (source_key)""",
+        _ACCEPTED,
+        _DAILY,
+        _CUSTOMERS,
+        _COUNTERS,
+    ),
+)
+def metadata_roundtrip(spark, sf_dir):
+    _, output = _ingested(spark, sf_dir)
+    return tables.read_metadata(spark, f"{output}/metadata").select(
+        "store",
+        "date",
+        "total_rows",
+        "good_rows",
+        "bad_rows",
+        "bad_row_rate",
+        "payment_success_rate",
+        F.size("daily_revenue").alias("days"),
+        F.size("orders_per_customer").alias("customers"),
+    )
+
+
+@register("stream_ingest", _SQL["sink_roundtrip"])
+def stream_ingest(spark, sf_dir):
+    """The same landing zone taken as a stream of arrivals."""
+    output = new_work_path(spark, "streamed-tables")
+    query = ingest_arrivals(
+        spark, _landing_zone(spark, sf_dir), output, new_work_path(spark, "stream-checkpoint")
+    )
+    query.awaitTermination()
+    return tables.read_good_data(spark, f"{output}/processed/good_data")
+
+
+@register(
+    "latest_file_wins",
+    """WITH uploads AS (
+  SELECT l_suppkey % 20 AS store_no, date_trunc('month', l_shipdate) AS month,
+    l_linenumber % 3 AS folder, max(l_shipdate) AS modified_at
+  FROM lineitem GROUP BY ALL
+)
+SELECT lpad(CAST(store_no AS VARCHAR), 2, '0') AS store, strftime(month, '%Y-%m-%d') AS "date",
+  folder || '/store_' || lpad(CAST(store_no AS VARCHAR), 2, '0') || '_' || strftime(month, '%Y%m%d') || '.csv' AS source_key
+FROM (SELECT *, row_number() OVER (PARTITION BY store_no, month ORDER BY modified_at DESC, folder DESC) AS n
+  FROM uploads) WHERE n = 1""",
+)
+def latest_file_wins(spark, sf_dir):
+    """Three folders hold an upload of each store and month; the latest line item dates it."""
+    lines = table(spark, sf_dir, "lineitem")
+    store = F.lpad((F.col("l_suppkey") % 20).cast("string"), 2, "0")
+    month = F.trunc("l_shipdate", "MONTH").cast("string")
+    day = F.replace(month, F.lit("-"))
+    folder = (F.col("l_linenumber") % 3).cast("string")
+    key = F.concat(folder, F.lit("/store_"), store, F.lit("_"), day, F.lit(".csv"))
+    uploads = lines.groupBy(key.alias("source_key")).agg(F.max("l_shipdate").alias("modified_at"))
+    placed = uploads.select(
+        "source_key",
+        "modified_at",
+        names.store_of(F.col("source_key")).alias("store"),
+        names.file_date_of(F.col("source_key")).alias("date"),
+    )
+    return verdicts.latest_uploads(placed)
+
+
+# --- Report batch and manifest ---------------------------------------------------------------
+
+
+@register("report_batch")
+def report_batch(spark, sf_dir):
+    _, output = _ingested(spark, sf_dir)
+    return run_reports(
+        spark,
+        tables.read_good_data(spark, f"{output}/processed/good_data"),
+        tables.read_metadata(spark, f"{output}/metadata"),
+        new_work_path(spark, "results"),
+        run_date=AS_OF,
+        as_of=AS_OF,
+    )
+
+
+@register("result_manifest")
+def result_manifest(spark, sf_dir):
+    """Records of the error files, which are CSVs, among all files of the run."""
+    _, output = _ingested(spark, sf_dir)
+    return manifest.result_manifest(spark, output)
+
+
+# --- Health ------------------------------------------------------------------------------------
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), "event_type", "value"
+    )
+
+
+_ERRORS_SQL = """SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS period_start,
+  time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS period_end, COUNT(*) AS errors
+FROM events WHERE event_type = 'error' GROUP BY ALL"""
+
+
+@register("error_periods_5m", _ERRORS_SQL)
+def error_periods_5m(spark, sf_dir):
+    return health.errors_per_period(_events(spark, sf_dir), "ts", F.col("event_type") == "error")
+
+
+@register("error_alarm_5m", _ERRORS_SQL + " HAVING COUNT(*) >= 3")
+def error_alarm_5m(spark, sf_dir):
+    return health.error_alarms(_events(spark, sf_dir), "ts", F.col("event_type") == "error")
+
+
+_PERIODS_SQL = """periods AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS period_start,
+    time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS period_end,
+    COUNT(value) AS runs, quantile_disc(value, 0.99) AS p99_ms
+  FROM events GROUP BY ALL
+)"""
+
+# Event values stand in for durations; the threshold is scaled to them.
+EVENT_LATENCY_THRESHOLD = 60.0
+
+
+@register(
+    "latency_periods_5m",
+    f"WITH {_PERIODS_SQL} SELECT *, p99_ms >= {EVENT_LATENCY_THRESHOLD} AS breaching FROM periods",
+)
+def latency_periods_5m(spark, sf_dir):
+    return health.latency_periods(_events(spark, sf_dir), "ts", "value", EVENT_LATENCY_THRESHOLD)
+
+
+@register(
+    "p99_alarm_5m",
+    f"""WITH {_PERIODS_SQL}, breaching AS (SELECT * FROM periods WHERE p99_ms >= {EVENT_LATENCY_THRESHOLD})
+SELECT b.* FROM breaching b JOIN breaching before ON before.period_end = b.period_start""",
+)
+def p99_alarm_5m(spark, sf_dir):
+    return health.latency_alarms(_events(spark, sf_dir), "ts", "value", EVENT_LATENCY_THRESHOLD)
+
+
+@register(
+    "stream_error_alarm_5m",
+    _ERRORS_SQL
+    + """ HAVING COUNT(*) >= 2 AND time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
+  <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE""",
+)
+def stream_error_alarm_5m(spark, sf_dir):
+    """Events as a stream, two errors a period; periods the watermark has closed."""
+    schema = table(spark, sf_dir, "events").schema
+    events = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+        .select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    )
+    # The watermark follows all events, not only errors.
+    alarms = streaming_error_alarms(events, "ts", F.col("event_type") == "error", threshold=2)
+    path = new_work_path(spark, "alarms")
+    query = (
+        alarms.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", new_work_path(spark, "alarm-checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(alarms.schema).parquet(path)

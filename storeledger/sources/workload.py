@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storeledger.plans.staging import stage
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -145,3 +147,97 @@ validated AS (
 ),
 good AS (SELECT * FROM validated WHERE validation_errors = ''),
 bad AS (SELECT * FROM validated WHERE validation_errors <> '')"""
+
+
+# --- A landing zone of CSV uploads derived from the same rows -----------------------------
+
+_CANONICAL = ("order_id", "customer_id", "product_id", "order_date", "quantity", "unit_price", "payment_status")
+_REORDERED = ("payment_status", "unit_price", "quantity", "order_date", "product_id", "customer_id", "order_id")
+_WITHOUT_PRICE = tuple(c for c in _CANONICAL if c != "unit_price")
+_WITH_EXTRAS = (*_CANONICAL, "store_id", "promo_code")
+
+# Stores whose files carry another header; all others use the canonical one.
+HEADER_OF_STORE = {"16": _REORDERED, "17": _WITHOUT_PRICE, "18": _WITH_EXTRAS}
+WRONG_NAME_STORE = "13"
+BAD_DATE_STORE = "14"
+OVERLONG_STORE = "15"
+
+
+def write_landing_zone(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Uploads as `root/upload=<file name>/part-*.csv`, some of them faulty.
+
+    Store 13 has a wrong file name, 14 unreadable dates, 15 overlong rows, 16 a
+    reordered header, 17 a missing column and 18 two extra ones.
+    """
+    wrong_name = F.replace("source_key", F.lit("store_"), F.lit("shop_"))
+    bad_date = (F.col("store") == BAD_DATE_STORE) & _every(13)
+    rows = sales_rows(spark, sf_dir).select(
+        "l_orderkey",
+        *[c for c in _CANONICAL if c != "order_date"],
+        F.when(bad_date, "2024-13-45").otherwise(F.col("order_date")).alias("order_date"),
+        F.col("store").alias("store_id"),
+        F.lit("none").alias("promo_code"),
+        "store",
+        F.when(F.col("store") == WRONG_NAME_STORE, wrong_name)
+        .otherwise(F.col("source_key"))
+        .alias("upload"),
+    )
+    rows = stage(rows, "landing-rows")
+    special = list(HEADER_OF_STORE)
+    _write_uploads(rows.filter(~F.col("store").isin(special)), _CANONICAL, root)
+    for store, header in HEADER_OF_STORE.items():
+        _write_uploads(rows.filter(F.col("store") == store), header, root)
+
+
+def _write_uploads(rows: DataFrame, header: tuple[str, ...], root: str) -> None:
+    # No field holds a comma or quote, so a joined line is plain CSV. The header
+    # line is the name of the only column.
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in header])
+    overlong = (F.col("store") == OVERLONG_STORE) & _every(11)
+    line = F.when(overlong, F.concat(line, F.lit(",extra"))).otherwise(line)
+    (
+        rows.select(line.alias(",".join(header)), "upload")
+        .hint("rebalance", "upload")
+        .write.mode("append")
+        .partitionBy("upload")
+        .option("header", True)
+        .option("sep", "\x01")
+        .option("quote", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(root)
+    )
+
+
+# Expected outcome of every upload, over the row rules.
+# In store 14 an unreadable date stands where a date, or none, stood before.
+OUTCOMES_SQL = """
+landed AS (
+  SELECT * REPLACE (
+    CASE WHEN store = '14' AND CAST(order_id AS BIGINT) % 13 = 0
+      THEN trim(replace(';' || validation_errors || ';', ';missing_order_date;', ';'), ';')
+      ELSE validation_errors END AS validation_errors)
+  FROM validated
+),
+uploads AS (
+  SELECT CASE WHEN v.store = '13' THEN replace(v.source_key, 'store_', 'shop_') ELSE v.source_key END AS upload,
+    any_value(v.store) AS home, any_value(v.store) AS store, any_value(v."date") AS "date",
+    COUNT(*) AS total_rows,
+    COUNT(*) FILTER (v.validation_errors = '') AS good_rows,
+    COUNT(*) FILTER (v.validation_errors = '' AND lower(v.payment_status) = 'paid') AS paid_rows,
+    COUNT(*) FILTER (v.validation_errors = '' AND v.store = '14' AND CAST(v.order_id AS BIGINT) % 13 = 0) AS bad_dates,
+    COUNT(*) FILTER (v.store = '15' AND CAST(v.order_id AS BIGINT) % 11 = 0) AS overlong
+  FROM landed v GROUP BY v.source_key, v.store
+),
+outcomes AS (
+  SELECT upload, CASE WHEN home = '13' THEN NULL ELSE store END AS store,
+    CASE WHEN home = '13' THEN NULL ELSE "date" END AS "date",
+    total_rows, good_rows, paid_rows,
+    CASE WHEN overlong > 0 THEN 'Row with more fields than the header'
+         WHEN home = '17' THEN 'Schema validation failed: ["Missing columns: [''unit_price'']"]'
+         WHEN home = '18' THEN 'Schema validation failed: ["Extra columns not allowed: [''promo_code'', ''store_id'']"]'
+         WHEN bad_dates > 0 THEN 'order_date cannot be read as a date in ' || bad_dates || ' good row(s)'
+         WHEN home = '13' THEN 'Filename does not match store_{id}_{YYYYMMDD}.csv: ''' || upload || ''''
+    END AS error
+  FROM uploads
+)"""
