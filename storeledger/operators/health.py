@@ -20,11 +20,16 @@ P99_ACCURACY = 10_000
 
 
 def errors_per_period(events: DataFrame, at: str, is_error: Column, period: str = ALARM_PERIOD):
-    """Error count per period. `events` may be a stream with a watermark on `at`."""
+    """Error count of the periods with errors.
+
+    `events` may be a stream with a watermark on `at`. Errors are counted rather
+    than filtered first, so that the watermark follows all events: the last
+    errors are reported even if no further error arrives.
+    """
     return (
-        events.filter(is_error)
-        .groupBy(F.window(at, period))
-        .agg(F.count(F.lit(1)).alias("errors"))
+        events.groupBy(F.window(at, period))
+        .agg(F.count_if(is_error).alias("errors"))
+        .filter("errors > 0")
         .select(
             F.col("window.start").alias("period_start"),
             F.col("window.end").alias("period_end"),

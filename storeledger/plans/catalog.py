@@ -19,10 +19,9 @@ from storeledger.session import new_work_path
 from storeledger.sources import landing, manifest, names, tables
 from storeledger.sources.workload import (
     OUTCOMES_SQL,
-    SALES_RAW_SQL,
     VALIDATED_SQL,
     sales_raw,
-    sales_rows,
+    sales_raw_sql,
     table,
     write_landing_zone,
 )
@@ -58,7 +57,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _sql(body: str, *more: str) -> str:
     """Prefix a SELECT with the shared common table expressions."""
-    return "WITH " + ",".join([SALES_RAW_SQL, VALIDATED_SQL, *more]) + "\n" + body
+    return "WITH " + ",".join([sales_raw_sql(), VALIDATED_SQL, *more]) + "\n" + body
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,18 +417,11 @@ def _upload():
 
 
 def _landing_sql(body: str, *more: str) -> str:
-    return _sql(body, OUTCOMES_SQL, *more)
+    shared = [sales_raw_sql("year"), VALIDATED_SQL, OUTCOMES_SQL]
+    return "WITH " + ",".join([*shared, *more]) + "\n" + body
 
 
-@register(
-    "schema_verdicts",
-    _landing_sql(
-        "SELECT upload, CASE WHEN starts_with(error, 'Schema') OR home IN ('17', '18') THEN "
-        "CASE home WHEN '17' THEN 'Schema validation failed: [\"Missing columns: [''unit_price'']\"]' "
-        "ELSE 'Schema validation failed: [\"Extra columns not allowed: [''promo_code'', ''store_id'']\"]' END "
-        "END AS error FROM outcomes JOIN uploads USING (upload)"
-    ),
-)
+@register("schema_verdicts", _landing_sql("SELECT upload, header_error AS error FROM uploads"))
 def schema_verdicts(spark, sf_dir):
     zone = landing.Landing(_landing_zone(spark, sf_dir), dt.datetime.now(dt.timezone.utc))
     files = landing.file_verdicts(spark, zone)
@@ -438,7 +430,7 @@ def schema_verdicts(spark, sf_dir):
 
 @register(
     "landing_rows",
-    _sql(
+    _landing_sql(
         f"""SELECT replace(source_key, 'store_13', 'shop_13') AS upload, COUNT(*) AS rows, {", ".join(
             f"COUNT({c}) AS {c}" for c in INPUT_COLUMNS)},
   COUNT(*) FILTER (store = '15' AND l_orderkey % 11 = 0) AS overlong
@@ -476,13 +468,14 @@ def overlong_rows(spark, sf_dir):
     "file_outcomes",
     _landing_sql(
         """SELECT upload, store, "date", CASE WHEN error IS NULL THEN 'success' ELSE 'error' END AS status, error,
-  CASE WHEN error IS NULL THEN total_rows END AS total_rows,
-  CASE WHEN error IS NULL THEN good_rows END AS good_rows FROM outcomes"""
+  CASE WHEN error IS NULL THEN total_rows ELSE 0 END AS total_rows,
+  CASE WHEN error IS NULL THEN good_rows ELSE 0 END AS good_rows FROM outcomes"""
     ),
 )
 def file_outcomes(spark, sf_dir):
     found, _ = _ingested(spark, sf_dir)
-    results = found.results().select("source_key", "summary.total_rows", "summary.good_rows")
+    counts = [F.coalesce(f"summary.{c}", F.lit(0)).alias(c) for c in ("total_rows", "good_rows")]
+    results = found.results().select("source_key", *counts)
     return found.outcomes.join(results, "source_key").select(
         _upload(), "store", "date", "status", "error", "total_rows", "good_rows"
     )
@@ -500,14 +493,11 @@ def failure_alerts(spark, sf_dir):
     return found.failure_alerts.select("event_type", "source_bucket", _upload(), "error")
 
 
-_ACCEPTED = """accepted AS (SELECT source_key FROM uploads u JOIN outcomes o USING (upload)
-  JOIN (SELECT DISTINCT source_key FROM validated) ON source_key = upload WHERE o.error IS NULL)"""
-
-
 @register(
     "sink_roundtrip",
     _landing_sql(
-        f"""SELECT {_ROW}, store, "date" FROM good JOIN accepted USING (source_key)""", _ACCEPTED
+        f"""SELECT {_ROW}, store, "date" FROM landed JOIN accepted USING (source_key)
+WHERE validation_errors = ''"""
     ),
 )
 def sink_roundtrip(spark, sf_dir):
@@ -518,8 +508,8 @@ def sink_roundtrip(spark, sf_dir):
 @register(
     "bad_data_roundtrip",
     _landing_sql(
-        f"""SELECT {_ROW}, validation_errors, store, "date" FROM bad JOIN accepted USING (source_key)""",
-        _ACCEPTED,
+        f"""SELECT {_ROW}, validation_errors, store, "date" FROM landed JOIN accepted USING (source_key)
+WHERE validation_errors <> ''"""
     ),
 )
 def bad_data_roundtrip(spark, sf_dir):
@@ -530,14 +520,15 @@ def bad_data_roundtrip(spark, sf_dir):
 @register(
     "metadata_roundtrip",
     _landing_sql(
-        """SELECT c.store, c."date", total_rows, good_rows, bad_rows, bad_row_rate, payment_success_rate,
-  (SELECT COUNT(*) FROM daily d WHERE d.source_key = c.source_key) AS days,
-  (SELECT COUNT(*) FROM customers u WHERE u.source_key = c.source_key) AS customers
-FROM counters c JOIN accepted USING (source_key)""",
-        _ACCEPTED,
-        _DAILY,
-        _CUSTOMERS,
-        _COUNTERS,
+        """SELECT store, "date", COUNT(*) AS total_rows,
+  COUNT(*) FILTER (validation_errors = '') AS good_rows,
+  COUNT(*) FILTER (validation_errors <> '') AS bad_rows,
+  round_even(COUNT(*) FILTER (validation_errors <> '') / COUNT(*), 4) AS bad_row_rate,
+  round_even(COUNT(*) FILTER (validation_errors = '' AND lower(payment_status) = 'paid')
+    / COUNT(*) FILTER (validation_errors = ''), 4) AS payment_success_rate,
+  COUNT(DISTINCT order_date) FILTER (validation_errors = '') AS days,
+  COUNT(DISTINCT customer_id) FILTER (validation_errors = '') AS customers
+FROM landed JOIN accepted USING (source_key) GROUP BY ALL"""
     ),
 )
 def metadata_roundtrip(spark, sf_dir):
@@ -673,9 +664,8 @@ def p99_alarm_5m(spark, sf_dir):
 
 @register(
     "stream_error_alarm_5m",
-    _ERRORS_SQL
-    + """ HAVING COUNT(*) >= 2 AND time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
-  <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE""",
+    f"""SELECT period_start, period_end, errors FROM ({_ERRORS_SQL}) WHERE errors >= 2
+AND period_end <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE""",
 )
 def stream_error_alarm_5m(spark, sf_dir):
     """Events as a stream, two errors a period; periods the watermark has closed."""

@@ -2,7 +2,8 @@
 
 Line items become rows of daily store files. A fixed share of rows is made to
 break each rule, keyed on the order number, so that any engine derives the same
-rows. One file is one store and one month.
+rows. One file is one store and one month, or one year for the
+landing zone.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ def _every(n: int) -> Column:
     return F.col("l_orderkey") % n == 0
 
 
-def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_rows(spark: SparkSession, sf_dir: str, period: str = "MONTH") -> DataFrame:
     """The seven text columns, `store`, `date` and `source_key`, plus `l_orderkey`."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
@@ -59,7 +60,7 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(status)
         .alias("payment_status"),
         F.lpad((F.col("l_suppkey") % 20).cast("string"), 2, "0").alias("store"),
-        F.trunc("l_shipdate", "MONTH").cast("string").alias("date"),
+        F.trunc("l_shipdate", period).cast("string").alias("date"),
     )
     # The repeated rows come from the same scan and join, not from a second one.
     copies = F.when(_every(97), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
@@ -75,7 +76,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The same rows as SQL over the order tables.
-SALES_RAW_SQL = """
+_SALES_RAW_SQL = """
 sales_rows AS (
   SELECT l.l_orderkey,
     CAST(o.o_orderkey AS VARCHAR) AS order_id,
@@ -95,9 +96,9 @@ sales_rows AS (
          WHEN l.l_orderkey % 5 = 0 THEN upper(CASE o.o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'pending' ELSE 'failed' END)
          ELSE CASE o.o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'pending' ELSE 'failed' END END AS payment_status,
     lpad(CAST(l.l_suppkey % 20 AS VARCHAR), 2, '0') AS store,
-    strftime(date_trunc('month', l.l_shipdate), '%Y-%m-%d') AS "date",
+    strftime(date_trunc('{period}', l.l_shipdate), '%Y-%m-%d') AS "date",
     'store_' || lpad(CAST(l.l_suppkey % 20 AS VARCHAR), 2, '0') || '_'
-      || strftime(date_trunc('month', l.l_shipdate), '%Y%m%d') || '.csv' AS source_key
+      || strftime(date_trunc('{period}', l.l_shipdate), '%Y%m%d') || '.csv' AS source_key
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 sales_raw AS (
@@ -106,6 +107,11 @@ sales_raw AS (
   SELECT * FROM sales_rows WHERE l_orderkey % 97 = 0
 )"""
 
+
+def sales_raw_sql(period: str = "month") -> str:
+    return _SALES_RAW_SQL.replace("{period}", period)
+
+
 # Row rules, one row per input row; the copy number stands for file order.
 VALIDATED_SQL = """
 numbered AS (
@@ -171,7 +177,7 @@ def write_landing_zone(spark: SparkSession, sf_dir: str, root: str) -> None:
     """
     wrong_name = F.replace("source_key", F.lit("store_"), F.lit("shop_"))
     bad_date = (F.col("store") == BAD_DATE_STORE) & _every(13)
-    rows = sales_rows(spark, sf_dir).select(
+    rows = sales_rows(spark, sf_dir, "YEAR").select(
         "l_orderkey",
         *[c for c in _CANONICAL if c != "order_date"],
         F.when(bad_date, "2024-13-45").otherwise(F.col("order_date")).alias("order_date"),
@@ -209,35 +215,41 @@ def _write_uploads(rows: DataFrame, header: tuple[str, ...], root: str) -> None:
     )
 
 
-# Expected outcome of every upload, over the row rules.
-# In store 14 an unreadable date stands where a date, or none, stood before.
+# Expected rows and outcome of every upload. In store 14 an unreadable date stands
+# where a date, or none, stood before.
 OUTCOMES_SQL = """
 landed AS (
   SELECT * REPLACE (
+    CASE WHEN store = '14' AND CAST(order_id AS BIGINT) % 13 = 0 THEN '2024-13-45' ELSE order_date END AS order_date,
     CASE WHEN store = '14' AND CAST(order_id AS BIGINT) % 13 = 0
       THEN trim(replace(';' || validation_errors || ';', ';missing_order_date;', ';'), ';')
       ELSE validation_errors END AS validation_errors)
   FROM validated
 ),
 uploads AS (
-  SELECT CASE WHEN v.store = '13' THEN replace(v.source_key, 'store_', 'shop_') ELSE v.source_key END AS upload,
-    any_value(v.store) AS home, any_value(v.store) AS store, any_value(v."date") AS "date",
+  SELECT source_key,
+    CASE WHEN store = '13' THEN replace(source_key, 'store_', 'shop_') ELSE source_key END AS upload,
+    store AS home, any_value("date") AS "date",
     COUNT(*) AS total_rows,
-    COUNT(*) FILTER (v.validation_errors = '') AS good_rows,
-    COUNT(*) FILTER (v.validation_errors = '' AND lower(v.payment_status) = 'paid') AS paid_rows,
-    COUNT(*) FILTER (v.validation_errors = '' AND v.store = '14' AND CAST(v.order_id AS BIGINT) % 13 = 0) AS bad_dates,
-    COUNT(*) FILTER (v.store = '15' AND CAST(v.order_id AS BIGINT) % 11 = 0) AS overlong
-  FROM landed v GROUP BY v.source_key, v.store
+    COUNT(*) FILTER (validation_errors = '') AS good_rows,
+    COUNT(*) FILTER (validation_errors = '' AND order_date = '2024-13-45') AS bad_dates,
+    COUNT(*) FILTER (store = '15' AND CAST(order_id AS BIGINT) % 11 = 0) AS overlong,
+    CASE store
+      WHEN '17' THEN 'Schema validation failed: ["Missing columns: [''unit_price'']"]'
+      WHEN '18' THEN 'Schema validation failed: ["Extra columns not allowed: [''promo_code'', ''store_id'']"]'
+    END AS header_error
+  FROM landed GROUP BY source_key, store
 ),
 outcomes AS (
-  SELECT upload, CASE WHEN home = '13' THEN NULL ELSE store END AS store,
-    CASE WHEN home = '13' THEN NULL ELSE "date" END AS "date",
-    total_rows, good_rows, paid_rows,
+  SELECT source_key, upload,
+    CASE WHEN home <> '13' THEN home END AS store,
+    CASE WHEN home <> '13' THEN "date" END AS "date",
+    total_rows, good_rows,
     CASE WHEN overlong > 0 THEN 'Row with more fields than the header'
-         WHEN home = '17' THEN 'Schema validation failed: ["Missing columns: [''unit_price'']"]'
-         WHEN home = '18' THEN 'Schema validation failed: ["Extra columns not allowed: [''promo_code'', ''store_id'']"]'
+         WHEN header_error IS NOT NULL THEN header_error
          WHEN bad_dates > 0 THEN 'order_date cannot be read as a date in ' || bad_dates || ' good row(s)'
          WHEN home = '13' THEN 'Filename does not match store_{id}_{YYYYMMDD}.csv: ''' || upload || ''''
     END AS error
   FROM uploads
-)"""
+),
+accepted AS (SELECT source_key FROM outcomes WHERE error IS NULL)"""
