@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _INF = float("inf")
 
+EXACT_PRODUCT = "_exact_product"
+PLAIN_PRODUCT = "_plain_product"
+
 # The number forms accepted. A cast alone would also take '1d' or hex.
 # The first form cannot overflow a double; the second can.
 _PLAIN_NUMBER = r"^\s*[+-]?(?:[0-9]{1,300}(?:\.[0-9]*)?|\.[0-9]+)\s*$"
@@ -27,23 +30,38 @@ def to_number(text: Column) -> Column:
     )
 
 
-def exact_product_sum(left: Column, right: Column) -> Column:
-    """Sum of left * right that does not depend on the order of addition.
+def with_products(rows: DataFrame, left: str, right: str) -> DataFrame:
+    """Add left * right twice: as a double, and exactly as decimal.
 
-    Both factors are taken as the decimals they were written as (six places), so
-    products and total are exact, and retries, repartitioning and partial
-    aggregation give the same result. A group that holds an infinite value or one
-    with more places falls back to a sum of doubles.
+    Both factors are taken as the decimals they were written as (six places). The
+    decimal is null where a factor is infinite or has more places.
     """
-    product = _as_written(left) * _as_written(right)
-    exact, plain = F.try_sum(product), left * right
-    complete = (F.count(product) == F.count(plain)) & exact.isNotNull()
-    return F.when(complete, exact.cast("double")).otherwise(F.sum(plain))
+    exact, plain = EXACT_PRODUCT, PLAIN_PRODUCT
+    # One step per projection: the casts are costly and each result is used twice.
+    cast = rows.select(
+        "*",
+        F.col(left).try_cast("decimal(18,6)").alias("_left"),
+        F.col(right).try_cast("decimal(18,6)").alias("_right"),
+    )
+    as_written = (F.col("_left").cast("double") == F.col(left)) & (
+        F.col("_right").cast("double") == F.col(right)
+    )
+    return cast.select(
+        *rows.columns,
+        F.when(as_written, F.col("_left") * F.col("_right")).alias(exact),
+        (F.col(left) * F.col(right)).alias(plain),
+    )
+
 
+def product_sum() -> Column:
+    """Sum over `with_products` that does not depend on the order of addition.
 
-def _as_written(value: Column) -> Column:
-    exact = value.try_cast("decimal(18,6)")
-    return F.when(exact.cast("double") == value, exact)
+    The exact total, so that retries, repartitioning and partial aggregation give
+    the same result; the sum of doubles where some product has no exact form.
+    """
+    exact = F.try_sum(EXACT_PRODUCT)
+    complete = (F.count(EXACT_PRODUCT) == F.count(PLAIN_PRODUCT)) & exact.isNotNull()
+    return F.when(complete, exact.cast("double")).otherwise(F.sum(PLAIN_PRODUCT))
 
 
 def python_round(value: Column, digits: int) -> Column:

@@ -10,15 +10,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.contract import SUCCESS_STATUS, TOP_PRODUCTS
-from storeledger.functions import exact_product_sum, iso_day, python_round
+from storeledger.functions import iso_day, product_sum, python_round, with_products
 from storeledger.operators.validate import is_good
 
 FILE = ("source_key",)
 
 
-def revenue() -> Column:
-    """Sum of quantity * unit_price."""
-    return exact_product_sum(F.col("quantity"), F.col("unit_price"))
+def _revenue_by(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Sum of quantity * unit_price by keys."""
+    priced = with_products(rows.select(*keys, "quantity", "unit_price"), "quantity", "unit_price")
+    return priced.groupBy(*keys).agg(product_sum().alias(name))
 
 
 def _is_paid() -> Column:
@@ -32,16 +33,14 @@ def _rate(part: Column, whole: Column) -> Column:
 
 def daily_revenue(good: DataFrame, keys: tuple[str, ...] = FILE) -> DataFrame:
     """Revenue per order date, all payment states included."""
-    day = iso_day(F.col("order_date")).alias("order_date")
-    return (
-        good.select(*keys, day, "quantity", "unit_price")
-        .groupBy(*keys, "order_date")
-        .agg(revenue().alias("daily_revenue"))
+    dated = good.select(*keys, "order_date", "quantity", "unit_price").withColumn(
+        "order_date", iso_day(F.col("order_date"))
     )
+    return _revenue_by(dated, [*keys, "order_date"], "daily_revenue")
 
 
 def product_revenue(good: DataFrame, keys: tuple[str, ...] = FILE) -> DataFrame:
-    return good.groupBy(*keys, "product_id").agg(revenue().alias("total_revenue"))
+    return _revenue_by(good, [*keys, "product_id"], "total_revenue")
 
 
 def top_products(
@@ -96,15 +95,16 @@ def with_rates(counted: DataFrame) -> DataFrame:
 
 def overall_metrics(validated: DataFrame) -> DataFrame:
     """One row over all files: counters, rates and revenue."""
-    totals = validated.agg(
+    sold = validated.select(
+        "copies",
+        "error_mask",
+        "payment_status",
+        *[F.when(is_good(), F.col(c)).alias(c) for c in ("quantity", "unit_price")],
+    )
+    totals = with_products(sold, "quantity", "unit_price").agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
         F.count_if(is_good()).alias("good_rows"),
         F.count_if(is_good() & _is_paid()).alias("paid_rows"),
-        F.coalesce(
-            exact_product_sum(
-                F.when(is_good(), F.col("quantity")), F.when(is_good(), F.col("unit_price"))
-            ),
-            F.lit(0.0),
-        ).alias("revenue"),
+        F.coalesce(product_sum(), F.lit(0.0)).alias("revenue"),
     )
     return with_rates(totals)

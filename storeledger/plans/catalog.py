@@ -9,9 +9,9 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.contract import DEFAULT_ERROR_THRESHOLD, INPUT_COLUMNS
+from storeledger.contract import DEFAULT_ERROR_THRESHOLD, GOOD_DATA_SCHEMA, INPUT_COLUMNS
 from storeledger.operators import alerts, health, metrics, summary, validate, verdicts
-from storeledger.plans import reports
+from storeledger.plans import reports, storage
 from storeledger.plans.ingest import Ingested, ingest
 from storeledger.plans.report_batch import run_reports
 from storeledger.plans.staging import stage
@@ -32,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Report day inside the range of the order tables.
 AS_OF = "1998-06-01"
+# A file date of the yearly landing zone.
+BATCH_DAY = "1998-01-01"
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
@@ -64,13 +66,29 @@ def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.validate(sales_raw(spark, sf_dir))
 
 
+# Tables written for the registered queries of one application, by name.
+_KEPT: dict[tuple[str, str, str], str] = {}
+
+
+def _kept(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The path of a derived table, written by the first query that reads it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT or not storage.exists(spark, _KEPT[key]):
+        path = new_work_path(spark, name)
+        write(path)
+        _KEPT[key] = path
+    return _KEPT[key]
+
+
 def good_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The good_data table as the jobs would have written it, partition columns included."""
-    return validate.stored_good_rows(validated(spark, sf_dir)).select(
+    """The good_data table, partition columns included; reports read it as stored."""
+    rows = validate.stored_good_rows(validated(spark, sf_dir)).select(
         *INPUT_COLUMNS,
         names.store_of(F.col("source_key")).alias("store"),
         names.file_date_of(F.col("source_key")).alias("date"),
     )
+    path = _kept(spark, sf_dir, "good-data", lambda p: rows.write.parquet(p))
+    return spark.read.schema(GOOD_DATA_SCHEMA).parquet(path)
 
 
 _ROW = ", ".join(INPUT_COLUMNS)
@@ -389,20 +407,19 @@ def report_rolling_7d(spark, sf_dir):
     metadata = metrics.row_counters(validated(spark, sf_dir)).select(
         names.file_date_of(key).alias("date"),
         names.store_of(key).alias("store"),
-        "*",
+        *("total_rows", "good_rows", "bad_rows", "bad_row_rate", "payment_success_rate"),
         (F.col("total_rows") * 0.25 + F.col("bad_rows")).alias("duration_ms"),
     )
-    return reports.rolling_7d_metadata_summary(metadata, AS_OF)
+    path = _kept(spark, sf_dir, "counters", lambda p: metadata.write.parquet(p))
+    stored = spark.read.schema(metadata.schema).parquet(path)
+    return reports.rolling_7d_metadata_summary(stored, AS_OF)
 
 
 # --- Landing zone: files written from the order tables, then read back as uploads ------------
 
 
-@lru_cache(maxsize=None)
 def _landing_zone(spark: SparkSession, sf_dir: str) -> str:
-    root = new_work_path(spark, "landing")
-    write_landing_zone(spark, sf_dir, root)
-    return root
+    return _kept(spark, sf_dir, "landing", lambda p: write_landing_zone(spark, sf_dir, p))
 
 
 @lru_cache(maxsize=None)
@@ -590,24 +607,51 @@ def latest_file_wins(spark, sf_dir):
 # --- Report batch and manifest ---------------------------------------------------------------
 
 
-@register("report_batch")
+@register(
+    "report_batch",
+    _landing_sql(
+        f"""SELECT query_name, '{BATCH_DAY}' AS run_date, rows FROM (
+  SELECT 'sanity_sample_rows' AS query_name, least(COUNT(*), 20) AS rows FROM sold
+  UNION ALL SELECT 'single_partition_rows', least(COUNT(*), 50) FROM sold WHERE store = '01' AND "date" = '{BATCH_DAY}'
+  UNION ALL SELECT 'store_daily_revenue', COUNT(DISTINCT "date") FROM sold WHERE store = '01'
+  UNION ALL SELECT 'day_store_revenue', COUNT(DISTINCT store) FROM sold WHERE "date" = '{BATCH_DAY}'
+  UNION ALL SELECT 'top_products_month', least(COUNT(DISTINCT product_id), 10) FROM sold WHERE "date" = '{BATCH_DAY}'
+  UNION ALL SELECT 'rolling_7d_metadata_summary', COUNT(DISTINCT (store, "date")) FROM landed JOIN accepted USING (source_key)
+    WHERE "date" >= '{BATCH_DAY}'
+)""",
+        "sold AS (SELECT landed.* FROM landed JOIN accepted USING (source_key) WHERE validation_errors = '')",
+    ),
+)
 def report_batch(spark, sf_dir):
     _, output = _ingested(spark, sf_dir)
-    return run_reports(
+    runs = run_reports(
         spark,
         tables.read_good_data(spark, f"{output}/processed/good_data"),
         tables.read_metadata(spark, f"{output}/metadata"),
         new_work_path(spark, "results"),
-        run_date=AS_OF,
-        as_of=AS_OF,
+        run_date=BATCH_DAY,
+        as_of=BATCH_DAY,
     )
+    return runs.select("query_name", "run_date", "rows")
 
 
-@register("result_manifest")
+@register(
+    "result_manifest",
+    _landing_sql(
+        """SELECT DISTINCT 'athena_query_result_created' AS event_type, store, "date", true AS has_rows
+FROM landed JOIN accepted USING (source_key) WHERE validation_errors <> ''"""
+    ),
+)
 def result_manifest(spark, sf_dir):
     """Records of the error files, which are CSVs, among all files of the run."""
     _, output = _ingested(spark, sf_dir)
-    return manifest.result_manifest(spark, output)
+    records = manifest.result_manifest(spark, output)
+    return records.select(
+        "event_type",
+        F.regexp_extract("key", r"/store=([^/]*)/", 1).alias("store"),
+        F.regexp_extract("key", r"/date=([^/]*)/", 1).alias("date"),
+        (F.col("size_bytes") > 0).alias("has_rows"),
+    ).distinct()
 
 
 # --- Health ------------------------------------------------------------------------------------

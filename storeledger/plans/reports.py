@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.contract import TOP_PRODUCTS
-from storeledger.functions import exact_product_sum
+from storeledger.functions import product_sum, with_products
 
 AsOf = dt.date | str | None
 
@@ -25,8 +25,9 @@ def _iso(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
 
 
-def _revenue() -> Column:
-    return exact_product_sum(F.col("quantity"), F.col("unit_price"))
+def _revenue_by(good_data: DataFrame, key: str, name: str) -> DataFrame:
+    rows = with_products(good_data.select(key, "quantity", "unit_price"), "quantity", "unit_price")
+    return rows.groupBy(key).agg(product_sum().alias(name))
 
 
 def sanity_sample_rows(good_data: DataFrame, n: int = 20) -> DataFrame:
@@ -44,22 +45,13 @@ def single_partition_rows(
 
 def store_daily_revenue(good_data: DataFrame, store: str = "01") -> DataFrame:
     """Revenue by file date for one store."""
-    return (
-        good_data.filter(F.col("store") == store)
-        .groupBy("date")
-        .agg(_revenue().alias("revenue"))
-        .orderBy("date")
-    )
+    return _revenue_by(good_data.filter(F.col("store") == store), "date", "revenue").orderBy("date")
 
 
 def day_store_revenue(good_data: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Revenue by store for one file date, highest first."""
-    return (
-        good_data.filter(F.col("date") == _iso(_day(as_of)))
-        .groupBy("store")
-        .agg(_revenue().alias("revenue"))
-        .orderBy(F.desc("revenue"), "store")
-    )
+    rows = good_data.filter(F.col("date") == _iso(_day(as_of)))
+    return _revenue_by(rows, "store", "revenue").orderBy(F.desc("revenue"), "store")
 
 
 def top_products_month(
@@ -68,13 +60,10 @@ def top_products_month(
     """Top products by revenue over the calendar month of the report day."""
     day = _day(as_of)
     first, last = _iso(F.trunc(day, "MONTH")), _iso(F.last_day(day))
-    return (
-        good_data.filter(F.col("date").between(first, last))
-        .groupBy("product_id")
-        .agg(_revenue().alias("total_revenue"))
-        .orderBy(F.desc("total_revenue"), "product_id")
-        .limit(n)
+    totals = _revenue_by(
+        good_data.filter(F.col("date").between(first, last)), "product_id", "total_revenue"
     )
+    return totals.orderBy(F.desc("total_revenue"), "product_id").limit(n)
 
 
 def rolling_7d_metadata_summary(metadata: DataFrame, as_of: AsOf = None) -> DataFrame:

@@ -28,20 +28,24 @@ def object_key(path: Column) -> Column:
 
 def upload_name(key: Column) -> Column:
     """Last path segment, without a partition-column prefix."""
-    return F.regexp_replace(F.substring_index(key, "/", -1), r"^[A-Za-z_]+=", "")
+    segment = F.substring_index(key, "/", -1)
+    bare = F.regexp_replace(segment, r"^[A-Za-z_]+=", "")
+    return F.when(segment.contains("="), bare).otherwise(segment)
 
 
 def store_of(key: Column) -> Column:
     """The store digits, zeros kept; null if the name does not fit."""
-    store = F.regexp_extract(upload_name(key), FILE_NAME_PATTERN, 1)
-    return F.nullif(store, F.lit(""))
+    return _named_part(key, "$1")
 
 
 def file_date_of(key: Column) -> Column:
     """YYYY-MM-DD of the file name; null if the name does not fit."""
+    return _named_part(key, "$2-$3-$4")
+
+
+def _named_part(key: Column, groups: str) -> Column:
     name = upload_name(key)
-    parts = [F.regexp_extract(name, FILE_NAME_PATTERN, n) for n in (2, 3, 4)]
-    return F.when(parts[0] != "", F.concat_ws("-", *parts))
+    return F.when(name.rlike(FILE_NAME_PATTERN), F.regexp_replace(name, FILE_NAME_PATTERN, groups))
 
 
 def name_error(key: Column) -> Column:
