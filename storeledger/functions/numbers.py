@@ -67,15 +67,14 @@ def product_sum() -> Column:
 def python_round(value: Column, digits: int) -> Column:
     """Round a double as Python's round(): half to even, on the stored binary value.
 
-    `bround` works on the shortest decimal text of the double, which differs from
-    the stored value only where that text is a tie. There the sign of
-    (value * 10^digits - tie) decides; splitting the value into two short halves
-    keeps both products exact.
+    `bround` works on the shortest decimal text of the double, which misleads only
+    near a tie. There the sign of (value * 10^digits - tie) decides; splitting the
+    value into two short halves keeps both products exact.
     """
     scale = 10**digits
     near = F.bround(value, digits)
     tie = F.floor(value * scale) + F.lit(0.5)
-    looks_tied = (value * scale == tie) & (F.abs(value) < 2.0**26)
+    near_tie = (F.abs(value * scale - tie) < 1e-6) & (F.abs(value) < 2.0**26)
     # Upper 26 bits and the remainder (Veltkamp split); each times `scale` is exact.
     spread = value * F.lit(134217729.0)
     upper = spread - (spread - value)
@@ -83,7 +82,7 @@ def python_round(value: Column, digits: int) -> Column:
     above = (upper * scale - tie) + lower * scale
     floor = F.floor(value * scale)
     return (
-        F.when(looks_tied & (above > 0), (floor + 1) / F.lit(float(scale)))
-        .when(looks_tied & (above < 0), floor / F.lit(float(scale)))
+        F.when(near_tie & (above > 0), (floor + 1) / F.lit(float(scale)))
+        .when(near_tie & (above < 0), floor / F.lit(float(scale)))
         .otherwise(near)
     )

@@ -36,7 +36,7 @@ def result_manifest(spark: SparkSession, root: str) -> DataFrame:
         F.regexp_extract("path", r"^[A-Za-z0-9+.-]+://([^/]+)/", 1).alias("bucket"),
         object_key(F.col("path")).alias("key"),
         F.col("length").alias("size_bytes"),
-        F.col("path").alias("uri"),
+        F.col("path").alias("s3_uri"),
         stamp.alias("created_at"),
     )
 

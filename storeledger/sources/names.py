@@ -23,7 +23,7 @@ def source_key(file_path: Column) -> Column:
 
 def object_key(path: Column) -> Column:
     """The path without scheme and bucket."""
-    return F.regexp_replace(path, r"^[A-Za-z0-9+.-]+:/+?(?:/[^/]*)?/+", "")
+    return F.regexp_replace(path, r"^[A-Za-z0-9+.-]+:(?://[^/]*)?/+", "")
 
 
 def upload_name(key: Column) -> Column:
