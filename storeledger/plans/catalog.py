@@ -82,11 +82,8 @@ def _kept(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
 
 def good_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The good_data table, partition columns included; reports read it as stored."""
-    rows = validate.stored_good_rows(validated(spark, sf_dir)).select(
-        *INPUT_COLUMNS,
-        names.store_of(F.col("source_key")).alias("store"),
-        names.file_date_of(F.col("source_key")).alias("date"),
-    )
+    rows = names.with_partition(validate.stored_good_rows(validated(spark, sf_dir)))
+    rows = rows.select(*INPUT_COLUMNS, "store", "date")
     path = _kept(spark, sf_dir, "good-data", lambda p: rows.write.parquet(p))
     return spark.read.schema(GOOD_DATA_SCHEMA).parquet(path)
 

@@ -20,7 +20,7 @@ from storeledger.operators import alerts, summary, validate, verdicts
 from storeledger.plans import sinks
 from storeledger.plans.staging import bounded_broadcast, stage
 from storeledger.sources.landing import Landing, file_verdicts, raw_rows
-from storeledger.sources.names import file_date_of, store_of
+from storeledger.sources.names import with_partition
 
 
 @dataclass
@@ -93,8 +93,8 @@ def ingest(spark: SparkSession, paths: str | list[str], output: str, **settings)
 
     output = output.rstrip("/")
     good_root, bad_root = f"{output}/{GOOD_DATA_PATH}", f"{output}/{BAD_DATA_PATH}"
-    sinks.write_good_data(_placed(validate.stored_good_rows(current)), good_root)
-    sinks.write_bad_data(_placed(validate.bad_rows(current)), bad_root)
+    sinks.write_good_data(with_partition(validate.stored_good_rows(current)), good_root)
+    sinks.write_bad_data(with_partition(validate.bad_rows(current)), bad_root)
 
     records = latest.join(found.summaries, "source_key")
     main = records.filter("continuation IS NULL")
@@ -109,8 +109,3 @@ def without(rows: DataFrame, uploads: DataFrame) -> DataFrame:
     if uploads.isEmpty():
         return rows
     return rows.join(bounded_broadcast(uploads.select("source_key")), "source_key", "left_anti")
-
-
-def _placed(rows: DataFrame) -> DataFrame:
-    key = F.col("source_key")
-    return rows.withColumn("store", store_of(key)).withColumn("date", file_date_of(key))

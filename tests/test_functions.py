@@ -131,6 +131,16 @@ def test_file_names(spark):
     assert [e is None for e in errors] == [c[0] is not None for c in cases.values()]
 
 
+def test_partition_of_accepted_names(spark):
+    keys = ["raw/store_01_20260418.csv", "upload=store_007_20261399.csv", "a_b/c/store_1_20240101.csv"]
+    rows = names.with_partition(spark.createDataFrame([(k,) for k in keys], "source_key STRING"))
+    matched = rows.filter(
+        (F.col("store") == names.store_of(F.col("source_key")))
+        & (F.col("date") == names.file_date_of(F.col("source_key")))
+    )
+    assert matched.count() == 3
+
+
 def test_uploads_and_keys(spark):
     paths = {
         "s3a://bucket/raw/store_1_20240101.csv": "raw/store_1_20240101.csv",
