@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, _comparable
+from storeledger.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,14 +24,14 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query(spark, db, name):
-    got = entry.queries()[name](spark, SF_DIR).toPandas()
-    if name not in entry.oracle_sql():
+    got = catalog.queries()[name](spark, SF_DIR).toPandas()
+    if name not in catalog.oracle_sql():
         assert name in ("report_sample", "report_partition_rows")
         assert list(got.columns)[-2:] == ["store", "date"]
         return
-    want = db.execute(entry.oracle_sql()[name]).df()
+    want = db.execute(catalog.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert _comparable(got) == _comparable(want)
 
