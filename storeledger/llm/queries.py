@@ -250,19 +250,21 @@ WITH RECURSIVE d AS (
   FROM documents
 ), sh AS (
   SELECT DISTINCT doc_id, s FROM (
-    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [w]
-                          ELSE list_transform(range(1, len(w)), lambda i: w[i:i + 1]) END) AS s
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [w[1]]
+                          ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
     FROM d)
 ), n AS (
   SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
-), both_in AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
-  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id
+), no AS MATERIALIZED (
+  SELECT doc_id, n, dense_rank() OVER (ORDER BY s) AS s FROM sh JOIN n USING (doc_id)
+), both_in AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i, any_value(a.n) AS nx, any_value(b.n) AS ny
+  FROM no a JOIN no b ON a.s = b.s AND a.doc_id < b.doc_id
+   AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
   GROUP BY a.doc_id, b.doc_id
-), link AS (
-  SELECT x, y FROM both_in JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
-  WHERE 100 * i >= 80 * (nx.n + ny.n - i)
-), ways AS (
+), link AS MATERIALIZED (
+  SELECT x, y FROM both_in WHERE 100 * i >= 80 * (nx + ny - i)
+), ways AS MATERIALIZED (
   SELECT x, y FROM link UNION ALL SELECT y, x FROM link
 ), reach(id, node) AS (
   SELECT doc_id, doc_id FROM d
