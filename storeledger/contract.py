@@ -104,8 +104,11 @@ LATENCY_ALARM_PERIODS = 2
 GOOD_DATA_PATH = "processed/good_data"
 BAD_DATA_PATH = "errors"
 METADATA_PATH = "metadata"
+CUSTOMER_ORDERS_PATH = "customer_orders"
+OUTCOMES_PATH = "outcomes"
+ALERTS_PATH = "alerts"
 
-# --- Schemas ----------------------------------------------------------------------
+# --- Fixed values: schemas ----------------------------------------------------------------------
 
 PARTITION_COLUMNS = ("store", "date")
 
@@ -167,8 +170,41 @@ SUMMARY_FIELDS = [
     T.StructField("duration_ms", T.DoubleType()),
 ]
 
-# `continuation` is null on a file's main record. A file with more customers than
-# one record should hold carries the rest of its list on numbered further records.
-METADATA_SCHEMA = T.StructType(
-    SUMMARY_FIELDS + [T.StructField("continuation", T.IntegerType())] + _PARTITION_FIELDS
+# Customers of a file are rows of a table of their own, however many there are; reading
+# the metadata puts each file's list back into its record.
+STORED_SUMMARY_FIELDS = [f for f in SUMMARY_FIELDS if f.name != "orders_per_customer"]
+METADATA_SCHEMA = T.StructType(STORED_SUMMARY_FIELDS + _PARTITION_FIELDS)
+CUSTOMER_ORDERS_SCHEMA = T.StructType(
+    [
+        T.StructField("source_key", T.StringType()),
+        T.StructField("customer_id", T.StringType()),
+        T.StructField("order_count", T.LongType()),
+    ]
+    + _PARTITION_FIELDS
+)
+
+# Outcomes and alerts of each run, in a folder per run.
+OUTCOMES_SCHEMA = T.StructType(
+    [
+        T.StructField("source_key", T.StringType()),
+        *_PARTITION_FIELDS,
+        T.StructField("modified_at", T.TimestampType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+ALERTS_SCHEMA = T.StructType(
+    [
+        T.StructField("event_type", T.StringType()),
+        T.StructField("source_bucket", T.StringType()),
+        T.StructField("source_key", T.StringType()),
+        T.StructField("bad_row_rate", T.DoubleType()),
+        T.StructField("threshold", T.DoubleType()),
+        T.StructField("bad_rows", T.LongType()),
+        T.StructField("total_rows", T.LongType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("occurred_at", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+    ]
 )

@@ -56,12 +56,15 @@ def with_products(rows: DataFrame, left: str, right: str) -> DataFrame:
 def product_sum() -> Column:
     """Sum over `with_products` that does not depend on the order of addition.
 
-    The exact total, so that retries, repartitioning and partial aggregation give
-    the same result; the sum of doubles where some product has no exact form.
+    The exact total of the products that have an exact form, so that retries,
+    repartitioning and partial aggregation give the same result, plus the sum of
+    doubles of those that have none. A total beyond 26 digits is a sum of doubles.
     """
     exact = F.try_sum(EXACT_PRODUCT)
-    complete = (F.count(EXACT_PRODUCT) == F.count(PLAIN_PRODUCT)) & exact.isNotNull()
-    return F.when(complete, exact.cast("double")).otherwise(F.sum(PLAIN_PRODUCT))
+    others = F.sum(F.when(F.col(EXACT_PRODUCT).isNull(), F.col(PLAIN_PRODUCT)))
+    overflow = exact.isNull() & (F.count(EXACT_PRODUCT) > 0)
+    apart = F.coalesce(exact.cast("double") + others, exact.cast("double"), others)
+    return F.when(overflow, F.sum(PLAIN_PRODUCT)).otherwise(apart)
 
 
 def python_round(value: Column, digits: int) -> Column:

@@ -1,4 +1,4 @@
-"""The per-file summary record: counters plus three nested lists."""
+"""The per-file summary record: counters, two short lists, and the customers' orders."""
 
 from __future__ import annotations
 
@@ -11,11 +11,14 @@ from storeledger.contract import (
     SUMMARY_FIELDS,
     TOP_PRODUCTS_TYPE,
 )
+from storeledger.functions import python_round
 from storeledger.operators import metrics
 from storeledger.operators.validate import good_rows
 
-# Customers one summary record holds; a file with more continues on further records.
-CUSTOMERS_PER_RECORD = 100_000
+
+def customer_orders(validated: DataFrame) -> DataFrame:
+    """source_key, customer_id, order_count: a row per customer of each file."""
+    return metrics.orders_per_customer(good_rows(validated))
 
 
 def file_summary(
@@ -23,13 +26,12 @@ def file_summary(
     processed_at: Column,
     duration_ms: Column,
     files: DataFrame | None = None,
-    customers_per_record: int = CUSTOMERS_PER_RECORD,
 ) -> DataFrame:
-    """Summaries with the fields of the metadata table, plus `continuation`.
+    """One record per file, with the fields of the metadata table but orders_per_customer.
 
     `files` (column `source_key`) adds files that have no rows at all. Days and
     top products per file are few (bounded by the calendar and by ten); customers
-    are not, so that list is split by hash of the id when a file has too many.
+    are not, so they stay rows, see `customer_orders` and `with_customers`.
     """
     good = good_rows(validated)
     counters = metrics.row_counters(validated)
@@ -44,12 +46,9 @@ def file_summary(
     products = metrics.top_products(good).groupBy("source_key").agg(
         F.transform(ranked, lambda p: F.struct(p.product_id, p.total_revenue)).alias("top_products")
     )
-    customers = _customer_lists(metrics.orders_per_customer(good), customers_per_record)
-
-    main = (
+    return (
         counters.join(days, "source_key", "left")
         .join(products, "source_key", "left")
-        .join(customers.filter("part = 0").drop("part"), "source_key", "left")
         .select(
             "source_key",
             processed_at.alias("processed_at"),
@@ -60,36 +59,28 @@ def file_summary(
             "payment_success_rate",
             _or_empty("daily_revenue", DAILY_REVENUE_TYPE),
             _or_empty("top_products", TOP_PRODUCTS_TYPE),
-            _or_empty("orders_per_customer", ORDERS_PER_CUSTOMER_TYPE),
-            F.round(duration_ms, 2).alias("duration_ms"),
-            F.lit(None).cast("int").alias("continuation"),
+            python_round(duration_ms, 2).alias("duration_ms"),
         )
     )
-    further = customers.filter("part > 0").select(
-        *[
-            F.col(f.name) if f.name in ("source_key", "orders_per_customer")
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in SUMMARY_FIELDS
-        ],
-        F.col("part").cast("int").alias("continuation"),
-    )
-    return main.unionByName(further)
 
 
-def _customer_lists(per_customer: DataFrame, limit: int) -> DataFrame:
-    """Sorted customer lists per file and part; part 0 exists wherever any does."""
-    sizes = per_customer.groupBy("source_key").agg(F.count(F.lit(1)).alias("customers"))
-    parts = F.ceil(F.col("customers") / F.lit(limit))
-    return (
-        per_customer.join(sizes, "source_key")
-        .withColumn("part", F.pmod(F.xxhash64("customer_id"), parts))
-        .groupBy("source_key", "part")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("customer_id", "order_count"))).alias(
-                "orders_per_customer"
-            )
+def with_customers(
+    records: DataFrame, customers: DataFrame, keys: tuple[str, ...] = ("source_key",)
+) -> DataFrame:
+    """Records with their complete orders_per_customer list, in the order of the fields.
+
+    Gathers each asked-for file's list, so ask for the files or partitions needed.
+    """
+    lists = customers.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("customer_id", "order_count"))).alias(
+            "orders_per_customer"
         )
     )
+    names = [f.name for f in SUMMARY_FIELDS]
+    joined = records.join(lists, list(keys), "left").withColumn(
+        "orders_per_customer", _or_empty("orders_per_customer", ORDERS_PER_CUSTOMER_TYPE)
+    )
+    return joined.select(*names, *[c for c in records.columns if c not in names])
 
 
 def _or_empty(name: str, data_type) -> Column:

@@ -14,6 +14,8 @@ from storeledger.operators.validate import is_good
 from storeledger.sources.names import file_date_of, name_error, store_of
 
 UNDECODABLE = "File is not valid UTF-8"
+# Fixed value: the message for a file without any header line.
+NO_COLUMNS = "No columns to parse from file"
 OVERLONG = "Row with more fields than the header"
 MIXED_DATES = "order_date values of good rows use more than one format"
 
@@ -63,6 +65,21 @@ def outcomes(files: DataFrame, findings: DataFrame) -> DataFrame:
     )
 
 
+def unseen(expected: DataFrame, judged: DataFrame) -> DataFrame:
+    """Outcomes of expected uploads that no file stands for: nothing to parse."""
+    key = F.col("source_key")
+    return (
+        expected.select("source_key").distinct().join(judged, "source_key", "left_anti").select(
+            "source_key",
+            store_of(key).alias("store"),
+            file_date_of(key).alias("date"),
+            F.lit(None).cast("timestamp").alias("modified_at"),
+            F.lit("error").alias("status"),
+            F.lit(NO_COLUMNS).alias("error"),
+        )
+    )
+
+
 def latest_uploads(accepted: DataFrame) -> DataFrame:
     """The upload that stands for each store and date: the latest, then the greatest key."""
     latest = F.max(F.struct("modified_at", "source_key"))

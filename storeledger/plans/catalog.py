@@ -9,9 +9,9 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.contract import DEFAULT_ERROR_THRESHOLD, GOOD_DATA_SCHEMA, INPUT_COLUMNS
+from storeledger.contract import DEFAULT_ERROR_THRESHOLD, INPUT_COLUMNS
 from storeledger.operators import alerts, health, metrics, summary, validate, verdicts
-from storeledger.plans import reports, storage
+from storeledger.plans import reports, sinks, storage
 from storeledger.plans.ingest import Ingested, ingest
 from storeledger.plans.report_batch import run_reports
 from storeledger.plans.staging import stage
@@ -81,11 +81,10 @@ def _kept(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
 
 
 def good_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The good_data table, partition columns included; reports read it as stored."""
+    """The good_data table as the sink writes it, partitioned by store and date."""
     rows = names.with_partition(validate.stored_good_rows(validated(spark, sf_dir)))
-    rows = rows.select(*INPUT_COLUMNS, "store", "date")
-    path = _kept(spark, sf_dir, "good-data", lambda p: rows.write.parquet(p))
-    return spark.read.schema(GOOD_DATA_SCHEMA).parquet(path)
+    path = _kept(spark, sf_dir, "good-data", lambda p: sinks.write_good_data(rows, p))
+    return tables.read_good_data(spark, path)
 
 
 _ROW = ", ".join(INPUT_COLUMNS)
@@ -222,15 +221,13 @@ def row_counters(spark, sf_dir):
 @register(
     "file_summary",
     _sql(
-        """SELECT c.source_key, total_rows, good_rows, bad_rows, bad_row_rate, payment_success_rate,
-  coalesce((SELECT COUNT(*) FROM daily d WHERE d.source_key = c.source_key), 0) AS days,
-  coalesce((SELECT COUNT(*) FROM top t WHERE t.source_key = c.source_key), 0) AS products,
-  coalesce((SELECT COUNT(*) FROM customers u WHERE u.source_key = c.source_key), 0) AS customers,
-  (SELECT order_date FROM daily d WHERE d.source_key = c.source_key ORDER BY order_date LIMIT 1) AS first_day,
-  (SELECT product_id FROM top t WHERE t.source_key = c.source_key AND rank = 1) AS best_product,
-  (SELECT total_revenue FROM top t WHERE t.source_key = c.source_key AND rank = 1) AS best_revenue,
-  (SELECT SUM(order_count) FROM customers u WHERE u.source_key = c.source_key) AS customer_orders
-FROM counters c""",
+        """SELECT source_key, total_rows, good_rows, bad_rows, bad_row_rate, payment_success_rate,
+  list, item, amount
+FROM counters LEFT JOIN (
+  SELECT source_key, 'daily_revenue' AS list, order_date AS item, daily_revenue AS amount FROM daily
+  UNION ALL SELECT source_key, 'top_products', product_id, total_revenue FROM top
+  UNION ALL SELECT source_key, 'orders_per_customer', customer_id, order_count::DOUBLE FROM customers
+) USING (source_key)""",
         _DAILY,
         _TOP,
         _CUSTOMERS,
@@ -239,24 +236,26 @@ FROM counters c""",
 )
 def file_summary(spark, sf_dir):
     rows = stage(validated(spark, sf_dir), "validated")
-    records = summary.file_summary(rows, F.lit("-"), F.lit(0.0))
-    orders = F.aggregate(
-        "orders_per_customer", F.lit(0).cast("bigint"), lambda n, c: n + c.order_count
+    records = summary.with_customers(
+        summary.file_summary(rows, F.lit("-"), F.lit(0.0)), summary.customer_orders(rows)
     )
+
+    def entries(name: str, item: str, amount: str):
+        return F.transform(
+            name,
+            lambda e: F.struct(
+                F.lit(name).alias("list"), e[item].alias("item"), e[amount].cast("double").alias("amount")
+            ),
+        )
+
+    every = F.concat(
+        entries("daily_revenue", "order_date", "daily_revenue"),
+        entries("top_products", "product_id", "total_revenue"),
+        entries("orders_per_customer", "customer_id", "order_count"),
+    )
+    counters = ("source_key", "total_rows", "good_rows", "bad_rows", "bad_row_rate")
     return records.select(
-        "source_key",
-        "total_rows",
-        "good_rows",
-        "bad_rows",
-        "bad_row_rate",
-        "payment_success_rate",
-        F.size("daily_revenue").alias("days"),
-        F.size("top_products").alias("products"),
-        F.size("orders_per_customer").alias("customers"),
-        F.get("daily_revenue", 0).order_date.alias("first_day"),
-        F.get("top_products", 0).product_id.alias("best_product"),
-        F.get("top_products", 0).total_revenue.alias("best_revenue"),
-        F.when(F.size("orders_per_customer") > 0, orders).alias("customer_orders"),
+        *counters, "payment_success_rate", F.inline_outer(every)
     )
 
 
@@ -351,6 +350,33 @@ def report_partition_rows(spark, sf_dir):
     return reports.single_partition_rows(good_data(spark, sf_dir), "01", AS_OF)
 
 
+_SAMPLED = "SELECT least(count(*), {n}) AS rows, least(count(*), {n}) AS of_table FROM good {where}"
+
+
+def _sampled(sample: DataFrame, whole: DataFrame) -> DataFrame:
+    """How many rows a sample has, and how many of them the table has too."""
+    same = [sample[c].eqNullSafe(whole[c]) for c in whole.columns]
+    found = sample.join(whole.distinct(), same, "left_semi")
+    counted = found.agg(F.count(F.lit(1)).alias("of_table"))
+    return sample.agg(F.count(F.lit(1)).alias("rows")).join(counted)
+
+
+@register("report_sample_counts", _sql(_SAMPLED.format(n=20, where="")))
+def report_sample_counts(spark, sf_dir):
+    good = good_data(spark, sf_dir)
+    return _sampled(stage(reports.sanity_sample_rows(good), "sample"), good)
+
+
+@register(
+    "report_partition_rows_counts",
+    _sql(_SAMPLED.format(n=50, where=f"""WHERE store = '01' AND "date" = '{AS_OF}'""")),
+)
+def report_partition_rows_counts(spark, sf_dir):
+    good = good_data(spark, sf_dir)
+    sample = stage(reports.single_partition_rows(good, "01", AS_OF), "sample")
+    return _sampled(sample, good.filter((F.col("store") == "01") & (F.col("date") == AS_OF)))
+
+
 @register(
     "report_store_daily",
     _sql(
@@ -399,17 +425,14 @@ GROUP BY "date", store ORDER BY "date" DESC, store""",
     ),
 )
 def report_rolling_7d(spark, sf_dir):
-    key = F.col("source_key")
     # Wall time cannot be compared, so the duration is a function of the counters.
-    metadata = metrics.row_counters(validated(spark, sf_dir)).select(
-        names.file_date_of(key).alias("date"),
-        names.store_of(key).alias("store"),
-        *("total_rows", "good_rows", "bad_rows", "bad_row_rate", "payment_success_rate"),
-        (F.col("total_rows") * 0.25 + F.col("bad_rows")).alias("duration_ms"),
+    duration = F.col("total_rows") * 0.25 + F.col("bad_rows")
+    records = summary.file_summary(validated(spark, sf_dir), F.lit("-"), duration)
+    path = _kept(
+        spark, sf_dir, "metadata",
+        lambda p: sinks.write_metadata(names.with_partition(records), p),
     )
-    path = _kept(spark, sf_dir, "counters", lambda p: metadata.write.parquet(p))
-    stored = spark.read.schema(metadata.schema).parquet(path)
-    return reports.rolling_7d_metadata_summary(stored, AS_OF)
+    return reports.rolling_7d_metadata_summary(tables.read_metadata_records(spark, path), AS_OF)
 
 
 # --- Landing zone: files written from the order tables, then read back as uploads ------------
@@ -507,6 +530,37 @@ def failure_alerts(spark, sf_dir):
     return found.failure_alerts.select("event_type", "source_bucket", _upload(), "error")
 
 
+_WRITTEN_OUTCOMES = _landing_sql(
+    """SELECT upload, store, "date", CASE WHEN error IS NULL THEN 'success' ELSE 'error' END AS status,
+  error FROM outcomes"""
+)
+_WRITTEN_ALERTS = _landing_sql(
+    """SELECT 'pipeline_failure' AS event_type, upload, error, NULL::DOUBLE AS bad_row_rate
+FROM outcomes WHERE error IS NOT NULL
+UNION ALL SELECT 'high_error_rate', upload, NULL, bad_row_rate FROM (
+  SELECT replace(source_key, 'store_13', 'shop_13') AS upload,
+    round_even(COUNT(*) FILTER (validation_errors <> '') / COUNT(*), 4) AS bad_row_rate
+  FROM landed JOIN accepted USING (source_key) GROUP BY ALL)
+WHERE bad_row_rate >= 0.20"""
+)
+
+
+@register("outcomes_roundtrip", _WRITTEN_OUTCOMES)
+def outcomes_roundtrip(spark, sf_dir):
+    _, output = _ingested(spark, sf_dir)
+    return tables.read_outcomes(spark, f"{output}/outcomes").select(
+        _upload(), "store", "date", "status", "error"
+    )
+
+
+@register("alerts_roundtrip", _WRITTEN_ALERTS)
+def alerts_roundtrip(spark, sf_dir):
+    _, output = _ingested(spark, sf_dir)
+    return tables.read_alerts(spark, f"{output}/alerts").select(
+        "event_type", _upload(), "error", "bad_row_rate"
+    )
+
+
 @register(
     "sink_roundtrip",
     _landing_sql(
@@ -694,6 +748,22 @@ def latency_periods_5m(spark, sf_dir):
     return health.latency_periods(_events(spark, sf_dir), "ts", "value", EVENT_LATENCY_THRESHOLD)
 
 
+@register(
+    "latency_periods_yearly",
+    """SELECT period_start, period_start + INTERVAL 365 DAY AS period_end,
+  COUNT(l_extendedprice) AS runs, quantile_disc(l_extendedprice::DOUBLE, 0.99) AS p99_ms,
+  quantile_disc(l_extendedprice::DOUBLE, 0.99) >= 60000 AS breaching
+FROM (SELECT *, time_bucket(INTERVAL 365 DAY, l_shipdate::TIMESTAMP, TIMESTAMP '1970-01-01') AS period_start
+      FROM lineitem) GROUP BY ALL""",
+)
+def latency_periods_yearly(spark, sf_dir):
+    """Periods of very many runs: line items by ship date, prices as durations."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("timestamp").alias("ts"), F.col("l_extendedprice").cast("double")
+    )
+    return health.latency_periods(items, "ts", "l_extendedprice", 60_000.0, "365 days")
+
+
 @register(
     "p99_alarm_5m",
     f"""WITH {_PERIODS_SQL}, breaching AS (SELECT * FROM periods WHERE p99_ms >= {EVENT_LATENCY_THRESHOLD})

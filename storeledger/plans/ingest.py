@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.contract import (
+    ALERTS_PATH,
     BAD_DATA_PATH,
+    CUSTOMER_ORDERS_PATH,
     DEFAULT_ERROR_THRESHOLD,
     GOOD_DATA_PATH,
     METADATA_PATH,
+    OUTCOMES_PATH,
 )
 from storeledger.operators import alerts, summary, validate, verdicts
 from storeledger.plans import sinks
@@ -30,14 +33,14 @@ class Ingested:
     outcomes: DataFrame
     validated: DataFrame
     summaries: DataFrame
+    customers: DataFrame
     high_error_alerts: DataFrame
     failure_alerts: DataFrame
 
     def results(self) -> DataFrame:
         """Per upload: status, and either its summary or its error."""
-        main = self.summaries.filter("continuation IS NULL")
-        fields = [c for c in main.columns if c not in ("continuation", "source_key")]
-        packed = main.select("source_key", F.struct("source_key", *fields).alias("summary"))
+        whole = summary.with_customers(self.summaries, self.customers)
+        packed = whole.select("source_key", F.struct(*whole.columns).alias("summary"))
         return self.outcomes.select("source_key", "status", "error").join(
             packed, "source_key", "left"
         )
@@ -49,8 +52,13 @@ def examine(
     arrived_by: dt.datetime | None = None,
     threshold: float = DEFAULT_ERROR_THRESHOLD,
     source_bucket: str | None = None,
+    expected: DataFrame | None = None,
 ) -> Ingested:
-    """Read and judge every upload; write nothing but staged tables."""
+    """Read and judge every upload; write nothing but staged tables.
+
+    Spark's file sources don't show empty files. Uploads that `expected` (column
+    source_key) names and the landing zone doesn't show have the outcome of one.
+    """
     started = time.monotonic()
     now = dt.datetime.now(dt.timezone.utc)
     landing = Landing(paths, arrived_by or now)
@@ -61,26 +69,38 @@ def examine(
     validated = stage(
         validate.validate(raw_rows(spark, landing, files), carry_max=("overlong",)), "validated"
     )
-    outcomes = stage(verdicts.outcomes(files, verdicts.row_findings(validated)), "outcomes")
+    judged = verdicts.outcomes(files, verdicts.row_findings(validated))
+    if expected is not None:
+        judged = judged.unionByName(verdicts.unseen(expected, judged))
+    outcomes = stage(judged, "outcomes")
 
     accepted = outcomes.filter("status = 'success'")
     kept = without(validated, outcomes.filter("status = 'error'"))
     stamp = F.lit(now.isoformat())
     elapsed = F.lit((time.monotonic() - started) * 1000)
     summaries = stage(summary.file_summary(kept, stamp, elapsed, files=accepted), "summaries")
-    main = summaries.filter("continuation IS NULL")
     return Ingested(
         outcomes=outcomes,
         validated=kept,
         summaries=summaries,
-        high_error_alerts=alerts.high_error_alerts(main, source_bucket, stamp, threshold),
+        customers=stage(summary.customer_orders(kept), "customers"),
+        high_error_alerts=alerts.high_error_alerts(summaries, source_bucket, stamp, threshold),
         failure_alerts=alerts.failure_alerts(outcomes, source_bucket, stamp),
     )
 
 
-def ingest(spark: SparkSession, paths: str | list[str], output: str, **settings) -> Ingested:
+def ingest(
+    spark: SparkSession,
+    paths: str | list[str],
+    output: str,
+    run_id: str | None = None,
+    **settings,
+) -> Ingested:
     """Judge every upload and replace the partitions of the accepted ones.
 
+    Outcomes and alerts are written under `run_id` (default: the time), so that a
+    run repeated under its id leaves one set of them.
+
     Where several uploads share a store and date, the latest stands. Metadata is
     written last, so a partition with fresh metadata is complete; a run that
     failed half-way is repaired by running it again.
@@ -97,10 +117,17 @@ def ingest(spark: SparkSession, paths: str | list[str], output: str, **settings)
     sinks.write_bad_data(with_partition(validate.bad_rows(current)), bad_root)
 
     records = latest.join(found.summaries, "source_key")
-    main = records.filter("continuation IS NULL")
-    sinks.clear_partitions(main.filter("good_rows = 0").select("store", "date"), good_root)
-    sinks.clear_partitions(main.filter("bad_rows = 0").select("store", "date"), bad_root)
+    customers_root = f"{output}/{CUSTOMER_ORDERS_PATH}"
+    sinks.write_customer_orders(latest.join(found.customers, "source_key"), customers_root)
+    without_good = records.filter("good_rows = 0").select("store", "date")
+    sinks.clear_partitions(without_good, good_root)
+    sinks.clear_partitions(without_good, customers_root)
+    sinks.clear_partitions(records.filter("bad_rows = 0").select("store", "date"), bad_root)
     sinks.write_metadata(records, f"{output}/{METADATA_PATH}")
+    run_id = run_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%fZ}"
+    sinks.write_outcomes(found.outcomes, run_id, f"{output}/{OUTCOMES_PATH}")
+    raised = [found.high_error_alerts, found.failure_alerts]
+    sinks.write_alerts(raised, run_id, f"{output}/{ALERTS_PATH}")
     return found
 
 

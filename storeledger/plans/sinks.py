@@ -1,11 +1,18 @@
-"""The three output tables, partitioned by store and date, safe to write again."""
+"""The output tables, partitioned by store and date, safe to write again."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from storeledger.contract import INPUT_COLUMNS, PARTITION_COLUMNS, SUMMARY_FIELDS
+from pyspark.sql.types import StructType
+
+from storeledger.contract import (
+    ALERTS_SCHEMA,
+    INPUT_COLUMNS,
+    OUTCOMES_SCHEMA,
+    PARTITION_COLUMNS,
+    STORED_SUMMARY_FIELDS,
+)
 from storeledger.plans import storage
 
 
@@ -37,34 +44,44 @@ def write_bad_data(rows: DataFrame, root: str) -> None:
 
 
 def write_metadata(summaries: DataFrame, root: str) -> None:
-    _partitioned(summaries, [*(f.name for f in SUMMARY_FIELDS), "continuation"]).json(root)
-
-
-def partitions_on_disk(spark: SparkSession, root: str) -> DataFrame:
-    """Store and date folders of a table, from file names alone."""
-    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    ).select(
-        folder.alias("folder"),
-        F.regexp_extract("path", r"/store=([^/]*)/date=[^/]*/[^/]*$", 1).alias("store"),
-        F.regexp_extract("path", r"/date=([^/]*)/[^/]*$", 1).alias("date"),
-    )
-    return files.filter("store <> ''").distinct()
+    _partitioned(summaries, [f.name for f in STORED_SUMMARY_FIELDS]).json(root)
+
+
+def write_customer_orders(rows: DataFrame, root: str) -> None:
+    _partitioned(rows, ["source_key", "customer_id", "order_count"]).parquet(root)
 
 
 def clear_partitions(empty: DataFrame, root: str) -> int:
     """Remove folders of the given store and date pairs, which have no rows any more.
 
     Overwriting by partition leaves a partition alone when it gets no rows, so the
-    rows of an earlier upload would stay. Only folders that exist are visited.
+    rows of an earlier upload would stay. Only the folders named are looked at, one
+    pair after the other, however many partitions the table has.
     """
     spark = empty.sparkSession
-    if not storage.exists(spark, root):
-        return 0
-    stale = partitions_on_disk(spark, root).join(empty, list(PARTITION_COLUMNS), "left_semi")
     removed = 0
-    for row in stale.select("folder").toLocalIterator():
-        storage.remove(spark, row.folder)
-        removed += 1
+    for row in empty.select(*PARTITION_COLUMNS).distinct().toLocalIterator():
+        folder = "/".join([root, *(f"{c}={row[c]}" for c in PARTITION_COLUMNS)])
+        if storage.exists(spark, folder):
+            storage.remove(spark, folder)
+            removed += 1
     return removed
+
+
+def write_outcomes(outcomes: DataFrame, run_id: str, root: str) -> None:
+    _of_run(outcomes, OUTCOMES_SCHEMA, run_id, root)
+
+
+def write_alerts(alerts: list[DataFrame], run_id: str, root: str) -> None:
+    """Alerts of all kinds in one table; fields that a kind lacks are null."""
+    rows = alerts[0]
+    for more in alerts[1:]:
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    _of_run(rows, ALERTS_SCHEMA, run_id, root)
+
+
+def _of_run(rows: DataFrame, schema: StructType, run_id: str, root: str) -> None:
+    """Replace what a run has written before, and nothing else."""
+    fields = [F.col(f.name).cast(f.dataType) for f in schema if f.name != "run_id"]
+    # One folder per run, even for a run without rows; repeating a run repeats its folder.
+    rows.select(*fields).write.mode("overwrite").parquet(f"{root}/run_id={run_id}")

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from storeledger.contract import INPUT_COLUMNS
 from storeledger.functions import python_list
 from storeledger.plans.staging import bounded_broadcast, row_count_up_to, stage
-from storeledger.sources.names import object_key, source_key
+from storeledger.operators.verdicts import NO_COLUMNS
+from storeledger.sources.names import decoded, object_key, source_key
 
 USUAL_HEADER = ",".join(INPUT_COLUMNS)
 WIDTH = len(INPUT_COLUMNS)
@@ -29,9 +30,6 @@ POSITIONS = [f"p{i}" for i in range(WIDTH)]
 # Files named in a filter at most; beyond it the lookup is a join.
 MAX_NAMED_FILES = 500
 
-# Fixed value: the message for a file without any header line.
-NO_COLUMNS = "No columns to parse from file"
-
 
 @dataclass
 class Landing:
@@ -44,10 +42,16 @@ class Landing:
     arrived_by: dt.datetime
 
     def _options(self, reader):
-        return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+        names = "{*.csv,part-*}"
+        return reader.option("recursiveFileLookup", True).option("pathGlobFilter", names)
 
     def _known(self, rows: DataFrame) -> DataFrame:
-        return rows.filter(F.col("_metadata.file_modification_time") <= F.lit(self.arrived_by))
+        """CSVs, and parts of whatever name in a folder that is one upload."""
+        path = F.col("_metadata.file_path")
+        return rows.filter(
+            (F.col("_metadata.file_modification_time") <= F.lit(self.arrived_by))
+            & (path.endswith(".csv") | path.contains(".csv/part-"))
+        )
 
     def lines(self, spark: SparkSession) -> DataFrame:
         return self._known(self._options(spark.read).text(self.paths))
@@ -189,7 +193,7 @@ def file_verdicts(spark: SparkSession, landing: Landing) -> DataFrame:
     no_header = ~F.col("usual_header") & names.isNull()
     verdicts = scanned.join(headers, "file_path", "left").select(
         "file_path",
-        object_key(source_key(F.col("file_path"))).alias("source_key"),
+        object_key(source_key(decoded(F.col("file_path")))).alias("source_key"),
         "modified_at",
         "undecodable",
         "open_quotes",
@@ -248,7 +252,7 @@ def _mapped(rows: DataFrame, special: DataFrame, spanning: bool) -> DataFrame:
         F.lit(1),
     ).otherwise(F.lit(0))
     return joined.select(
-        object_key(source_key(F.col("file_path"))).alias("source_key"),
+        object_key(source_key(decoded(F.col("file_path")))).alias("source_key"),
         *columns,
         overlong.alias("overlong"),
     )

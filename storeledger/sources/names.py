@@ -13,12 +13,19 @@ from pyspark.sql import functions as F
 from storeledger.contract import FILE_NAME_PATTERN
 from storeledger.functions import python_repr
 
+
 def source_key(file_path: Column) -> Column:
     """The upload a physical file belongs to: its own path, or its folder's."""
     folder = F.regexp_replace(file_path, r"\.csv/part-[^/]*$", ".csv")
     return F.when(file_path.contains(".csv/part-"), folder).otherwise(file_path)
 
 
+def decoded(file_path: Column) -> Column:
+    """A path of `_metadata.file_path`, which is percent-encoded, as it was written."""
+    # A plus sign in such a path is a plus sign.
+    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+
+
 def object_key(path: Column) -> Column:
     """The path without scheme and bucket."""
     return F.regexp_replace(path, r"^[A-Za-z0-9+.-]+:(?://[^/]*)?/+", "")

@@ -8,7 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeledger.contract import BAD_DATA_SCHEMA, GOOD_DATA_SCHEMA, METADATA_SCHEMA
+from storeledger.contract import (
+    ALERTS_SCHEMA,
+    BAD_DATA_SCHEMA,
+    CUSTOMER_ORDERS_PATH,
+    CUSTOMER_ORDERS_SCHEMA,
+    GOOD_DATA_SCHEMA,
+    METADATA_SCHEMA,
+    OUTCOMES_SCHEMA,
+)
+from storeledger.operators import summary
 
 
 def read_good_data(spark: SparkSession, root: str) -> DataFrame:
@@ -20,27 +29,46 @@ def read_bad_data(spark: SparkSession, root: str) -> DataFrame:
         spark.read.schema(BAD_DATA_SCHEMA)
         .option("header", True)
         .option("escape", '"')
+        .option("multiLine", True)  # Quoted fields may hold line breaks.
         .csv(root)
     )
 
 
 def read_metadata_records(spark: SparkSession, root: str) -> DataFrame:
-    """All records, continuations of long customer lists included."""
+    """One record per file, as stored: without the list of customers."""
     return spark.read.schema(METADATA_SCHEMA).json(root)
 
 
-def read_metadata(spark: SparkSession, root: str) -> DataFrame:
-    """One record per file."""
-    return read_metadata_records(spark, root).filter("continuation IS NULL").drop("continuation")
+def read_customer_orders(spark: SparkSession, root: str) -> DataFrame:
+    """A row per customer of each file."""
+    return spark.read.schema(CUSTOMER_ORDERS_SCHEMA).parquet(root)
 
 
-def customer_orders(spark: SparkSession, root: str) -> DataFrame:
-    """Every customer of every file, from main and further records alike."""
-    return read_metadata_records(spark, root).selectExpr(
-        "source_key", "store", "date", "inline(orders_per_customer)"
+def read_metadata(spark: SparkSession, root: str, customers_root: str | None = None) -> DataFrame:
+    """One record per file, complete with its list of customers.
+
+    The customers stand beside the metadata unless `customers_root` says otherwise. A
+    filter on store and date reaches both tables.
+    """
+    if customers_root is None:
+        customers_root = f"{root.rstrip('/').rpartition('/')[0]}/{CUSTOMER_ORDERS_PATH}"
+    return summary.with_customers(
+        read_metadata_records(spark, root),
+        read_customer_orders(spark, customers_root),
+        keys=("store", "date", "source_key"),
     )
 
 
+def read_outcomes(spark: SparkSession, root: str) -> DataFrame:
+    """What became of each upload, run by run."""
+    return spark.read.schema(OUTCOMES_SCHEMA).parquet(root)
+
+
+def read_alerts(spark: SparkSession, root: str) -> DataFrame:
+    """High-error and failure alerts, run by run."""
+    return spark.read.schema(ALERTS_SCHEMA).parquet(root)
+
+
 def create_good_data_table(spark: SparkSession, name: str, root: str) -> None:
     """Catalogue entry over the good_data folder; `refresh_partitions` adds new folders."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in GOOD_DATA_SCHEMA)

@@ -28,11 +28,13 @@ def arrivals(
         spark.readStream.format("binaryFile")
         .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "{*.csv,part-*}")
         .option("maxFilesPerTrigger", max_files)
         .load(landing)
     )
-    return files.select(source_key(F.col("path")).alias("upload"), "modificationTime")
+    path = F.col("path")
+    files = files.filter(path.endswith(".csv") | path.contains(".csv/part-"))
+    return files.select(source_key(path).alias("upload"), "modificationTime")
 
 
 def ingest_arrivals(
@@ -52,7 +54,7 @@ def ingest_arrivals(
     send corrections under a new folder, or run the batch job on them.
     """
 
-    def process(batch: DataFrame, _batch_id: int) -> None:
+    def process(batch: DataFrame, batch_id: int) -> None:
         named = batch.groupBy("upload").agg(F.max("modificationTime").alias("at")).collect()
         if not named:
             return
@@ -62,6 +64,7 @@ def ingest_arrivals(
             batch.sparkSession,
             [row.upload for row in named],
             output,
+            run_id=f"batch-{batch_id:012d}",
             arrived_by=max(latest, now),
             **settings,
         )

@@ -30,13 +30,12 @@ def _write_landing(raw):
     put("09", "E1,C1,P1,2024-02-10,1,5,paid,S9,X", header=HEADER + ",store_id,promo_code")
     put("10", "F1,  ,P1,2024-02-13,1,5,paid", "F2,C2,,2024-02-13,1,5,paid",
         "F3,C3,P3,   ,1,5,paid", "F4,C4,P4,2024-02-13,4,10,paid", "F5,C5,P5,2024-02-13,2,20,paid")
-    put("11", "G1,C1,P1,2024-02-14,2,10.00,paid", "G2,C2,P2,2024-02-14,1,20.00,paid",
-        "G3,C1,P1,2024-02-15,3,5.00,pending", "G4,C3,P3,2024-02-15,4,2.50,failed")
+    put("11", "Q7,K3,R1,2023-11-30,5,4.20,failed", "Q8,K9,R4,2023-12-02,1,17.50,PAID",
+        "Q9,K3,R1,2023-12-02,2,6,pending")
     put("12", "H1,C1,P1,2024-02-16,1,paid", header=HEADER.replace("unit_price,", ""))
-    put("13", "I1,C1,P1,2024-01-15,2,29.99,paid", "I1,C1,P1,2024-01-15,2,29.99,paid",
-        "I2,C2,P2,2024-01-15,,15.50,paid", "I3,C3,P3,2024-01-15,1,,paid",
-        "I4,C4,P4,2024-01-15,-5,10.00,paid", "I5,C5,P5,2024-01-15,1,10.00,NOT_VALID",
-        "I6,C6,P6,2024-01-15,3,9.99,paid")
+    put("13", "T1,K1,R9,2023-08-07,6,2.25,paid", "T2,K2,R9,2023-08-08,0,8,pending",
+        "T3,,R2,2023-08-08,1,3,failed", "T1,K1,R9,2023-08-07,6,2.25,paid",
+        "T4,K4,R3,2023-08-09,2,,unpaid", 'T5,"K\n""5"", x",R3,2023-08-09,0,1,paid')
 
     # Layout of the file.
     put("20", "paid,2,10,P1,A1,C1,2024-02-01", "failed,1,5,P2,A2,C2,2024-02-02",
@@ -70,6 +69,8 @@ def _write_landing(raw):
     put("53", "A1,C1,P1,2024-01-05 10:00:00,1,1,paid", "A2,C1,P1,2024-01-05 23:59:59,1,1,paid")
     put("54", "A1,C1,P1,2024/01/05,1,1,paid")
     put("55", "A1,C1,P1,20240105,1,1,paid")
+    put("57", "A1,C1,P1,7/4/2023,1,3,paid", "A2,C1,P1,11/28/2023,1,2,paid")
+    put("58", "A1,C1,P1,07/04/2023,1,3,paid", "A2,C1,P1,2023/07/04,1,2,paid")
     put("56", "A1,C1,P1,2300-01-01,1,1,paid")
 
     # Names.
@@ -81,6 +82,15 @@ def _write_landing(raw):
     for part in ("part-0.csv", "part-1.csv"):
         store_file(raw, f"upload=store_70_{DAY}.csv/{part}", "A1,C1,P1,2024-02-01,1,5,paid")
 
+    # The same, as Spark writes a folder without being asked for a suffix.
+    for part in ("part-00000", "part-00001"):
+        store_file(raw, f"store_71_{DAY}.csv/{part}", "A1,C1,P1,2024-02-01,1,5,paid")
+    store_file(raw, "elsewhere/part-00000", "not an upload")
+
+    # A name that a URL would encode, and an upload without a byte.
+    store_file(raw, f"sub 1+2%/store_72_{DAY}.csv", "A1,C1,P1,2024-02-01,1,5,paid")
+    (raw / f"store_73_{DAY}.csv").write_bytes(b"")
+
     # Rates: one bad row in 32; exactly the alert threshold.
     put("80", *[f"A{i},C1,P1,2024-02-01,{int(i > 0)},1,paid" for i in range(32)])
     put("81", *[f"A{i},C1,P1,2024-02-01,{int(i > 0)},1,paid" for i in range(5)])
@@ -90,13 +100,21 @@ def _write_landing(raw):
 def run(spark, tmp_path_factory):
     raw, out = tmp_path_factory.mktemp("raw"), tmp_path_factory.mktemp("out")
     _write_landing(raw)
-    found = ingest(spark, str(raw), str(out), source_bucket="landing")
+    names = [(f"{str(raw)[1:]}/store_{n}_{DAY}.csv",) for n in ("01", "73")]
+    expected = spark.createDataFrame(names, "source_key string")
+    found = ingest(
+        spark, str(raw), str(out), run_id="one", source_bucket="landing", expected=expected
+    )
     return {
         "raw": raw,
         "out": out,
         "found": found,
         "outcomes": by_file(found.outcomes.collect()),
         "summaries": by_file(found.summaries.collect()),
+        "written": {
+            "outcomes": tables.read_outcomes(spark, f"{out}/outcomes").collect(),
+            "alerts": tables.read_alerts(spark, f"{out}/alerts").collect(),
+        },
         "good": tables.read_good_data(spark, f"{out}/processed/good_data").collect(),
         "bad": tables.read_bad_data(spark, f"{out}/errors").collect(),
         "metadata": tables.read_metadata(spark, f"{out}/metadata").collect(),
@@ -114,8 +132,8 @@ def _name(number, day=DAY):
         ("04", 6, 3, 3, 0.5, 0.6667, {"2024-02-06": 140.0}),
         ("08", 5, 0, 5, 1.0, 0.0, {}),
         ("10", 5, 2, 3, 0.6, 1.0, {"2024-02-13": 80.0}),
-        ("11", 4, 4, 0, 0.0, 0.5, {"2024-02-14": 40.0, "2024-02-15": 25.0}),
-        ("13", 7, 2, 5, 0.7143, 1.0, {"2024-01-15": 89.95}),
+        ("11", 3, 3, 0, 0.0, 0.3333, {"2023-11-30": 21.0, "2023-12-02": 29.5}),
+        ("13", 6, 1, 5, 0.8333, 1.0, {"2023-08-07": 13.5}),
         ("20", 2, 2, 0, 0.0, 0.5, {"2024-02-01": 20.0, "2024-02-02": 5.0}),
         ("22", 1, 1, 0, 0.0, 1.0, {"2024-02-01": 6.0}),
         ("23", 2, 1, 1, 0.5, 1.0, {"2024-02-01": 7.0}),
@@ -127,6 +145,7 @@ def _name(number, day=DAY):
         ("50", 2, 1, 1, 0.5, 1.0, {"2024-01-05": 1.0}),
         ("53", 2, 2, 0, 0.0, 1.0, {"2024-01-05": 2.0}),
         ("54", 1, 1, 0, 0.0, 1.0, {"2024-01-05": 1.0}),
+        ("57", 2, 2, 0, 0.0, 1.0, {"2023-07-04": 3.0, "2023-11-28": 2.0}),
         ("80", 32, 31, 1, 0.0312, 1.0, {"2024-02-01": 31.0}),
     ],
 )
@@ -179,7 +198,7 @@ def test_errors_of_rows(run):
     assert errors["10", "F1"] == "missing_customer_id"
     assert errors["10", "F2"] == "missing_product_id"
     assert errors["10", "F3"] == "missing_order_date"
-    assert errors["13", "I1"] == "duplicate_row"
+    assert errors["13", "T1"] == "duplicate_row"
     assert errors["40", "A4"] == errors["40", "A5"] == "missing_customer_id"
     assert errors["40", "A6"] == "invalid_payment_status"
     assert errors["23", "A2"].split(";") == [
@@ -189,6 +208,11 @@ def test_errors_of_rows(run):
     assert [r.order_id for r in run["good"] if r.store == "40"] == ["none"]
 
 
+def test_bad_rows_with_line_breaks_stay_whole(run):
+    texts = [r.customer_id for r in run["bad"] if (r.store, r.order_id) == ("13", "T5")]
+    assert texts == ['K\n"5", x']
+
+
 def test_numbers(run):
     good = {r.order_id: r.quantity for r in run["good"] if r.store == "41"}
     assert good == {"A1": 3.0, "A2": 1000.0, "A6": float("inf")}
@@ -210,12 +234,30 @@ def test_upload_in_parts_is_one_file(run):
     assert (s.total_rows, s.good_rows) == (2, 1)
 
 
+def test_parts_without_suffix_names_and_empty_uploads(run):
+    assert run["summaries"][_name("71")].total_rows == 2
+    assert run["outcomes"][_name("72")].source_key.endswith(f"/sub 1+2%/{_name('72')}")
+    empty = run["outcomes"][_name("73")]
+    assert (empty.status, empty.error, empty.store) == ("error", "No columns to parse from file", "73")
+    assert not any("elsewhere" in o.source_key for o in run["outcomes"].values())
+
+
+def test_outcomes_and_alerts_are_on_disk(run):
+    written = {(o.source_key, o.status, o.error, o.run_id) for o in run["written"]["outcomes"]}
+    assert written == {(o.source_key, o.status, o.error, "one") for o in run["outcomes"].values()}
+    kinds = [a.event_type for a in run["written"]["alerts"]]
+    failed = [o for o in run["outcomes"].values() if o.status == "error"]
+    assert kinds.count("pipeline_failure") == len(failed)
+    assert kinds.count("high_error_rate") == run["found"].high_error_alerts.count() > 0
+
+
 def test_order_of_lists(run):
     s = run["summaries"][_name("11")]
-    assert [(p.product_id, p.total_revenue) for p in s.top_products] == [
-        ("P1", 35.0), ("P2", 20.0), ("P3", 10.0)]
-    assert [(c.customer_id, c.order_count) for c in s.orders_per_customer] == [
-        ("C1", 2), ("C2", 1), ("C3", 1)]
+    assert [(p.product_id, p.total_revenue) for p in s.top_products] == [("R1", 33.0), ("R4", 17.5)]
+    [stored] = [m for m in run["metadata"] if m.store == "11"]
+    assert [(c.customer_id, c.order_count) for c in stored.orders_per_customer] == [("K3", 2), ("K9", 1)]
+    [bad_only] = [m for m in run["metadata"] if m.store == "08"]
+    assert bad_only.orders_per_customer == []
 
 
 def test_alerts(run):
@@ -247,7 +289,7 @@ def test_written_files(run):
     record = json.loads(summary.read_text())
     assert list(record) == [
         "source_key", "processed_at", "total_rows", "good_rows", "bad_rows", "bad_row_rate",
-        "payment_success_rate", "daily_revenue", "top_products", "orders_per_customer", "duration_ms"]
+        "payment_success_rate", "daily_revenue", "top_products", "duration_ms"]
     [empty] = (out / "metadata/store=08/date=2026-04-18").glob("*.json")
     assert json.loads(empty.read_text())["top_products"] == []
 

@@ -138,17 +138,16 @@ def test_top_ten_and_ties(spark):
     assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit")  # before and after the shuffle
 
 
-def test_long_customer_lists_continue(spark):
+def test_customer_lists_are_complete(spark):
     rows = [("f", f"O{i}", f"C{i % 100:03}", "P", "2024-01-15", "1", "1", "paid") for i in range(300)]
     rows += [("g", *ROW)]
     validated = validate.validate(_raw(spark, rows))
-    records = summary.file_summary(validated, F.lit("-"), F.lit(0.0), customers_per_record=10).collect()
-    main = [r for r in records if r.continuation is None]
-    assert sorted(r.source_key for r in main) == ["f", "g"]
-    assert all(r.total_rows is None for r in records if r.continuation is not None)
-    listed = [(c.customer_id, c.order_count) for r in records if r.source_key == "f" for c in r.orders_per_customer]
-    assert sorted(listed) == [(f"C{i:03}", 3) for i in range(100)]
-    assert max(len(r.orders_per_customer) for r in records) < 40
+    records = summary.file_summary(validated, F.lit("-"), F.lit(1.005))
+    whole = summary.with_customers(records, summary.customer_orders(validated)).collect()
+    assert sorted(r.source_key for r in whole) == ["f", "g"]
+    [f] = [r for r in whole if r.source_key == "f"]
+    assert [tuple(c) for c in f.orders_per_customer] == [(f"C{i:03}", 3) for i in range(100)]
+    assert f.duration_ms == round(1.005, 2)
 
 
 def test_no_rows(spark):
