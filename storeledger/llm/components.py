@@ -30,9 +30,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _digest(edges: DataFrame) -> tuple:
-    mark = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(mark)).first())
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root, and no root hangs on another node."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    roots = edges.select(F.col("v").alias("id"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))
+    nodes = ends.unionByName(roots).groupBy("id").agg(
+        F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")
+    )
+    return nodes.filter("hangs + holds > 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -45,12 +50,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = staged(edges.filter(F.col("u") != F.col("v")).distinct(), "links")
-    before = _digest(edges)
-    while before[0]:
+    while not _is_settled(edges):
         edges = staged(_small_star(_large_star(edges).distinct()).distinct(), "links")
-        now = _digest(edges)
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
