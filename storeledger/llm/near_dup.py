@@ -326,7 +326,9 @@ def near_duplicates(
     named = edges.select(F.col("center").alias("id")).unionByName(
         edges.select(F.col("member").alias("id"))
     )
-    texts = staged(source.join(named.distinct(), "id", "left_semi"), "candidates")
+    # The ids grow with the documents: they are shuffled at every size, never broadcast.
+    wanted = named.distinct().hint("merge")
+    texts = staged(source.join(wanted, "id", "left_semi"), "candidates")
 
     stars = staged(confirmed(edges, texts, hashing), "confirmed-stars")
     links = stars.filter(_is_link(similar)).select(
