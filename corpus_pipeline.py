@@ -29,7 +29,8 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     found = near_dup.near_duplicates(docs, shingle=5)
     gone = found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    # The dropped ids grow with the documents: shuffled at every size, never broadcast.
+    kept = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
     repeated = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL")
     repeated = staged(repeated.select(F.col("doc_id").alias("_again")), "repeated-ids")
     if not repeated.isEmpty():
