@@ -21,7 +21,7 @@ from storeledger.contract import (
 )
 from storeledger.operators import alerts, summary, validate, verdicts
 from storeledger.plans import sinks
-from storeledger.plans.staging import bounded_broadcast, stage
+from storeledger.plans.staging import stage
 from storeledger.sources.landing import Landing, file_verdicts, raw_rows
 from storeledger.sources.names import with_partition
 
@@ -132,7 +132,5 @@ def ingest(
 
 
 def without(rows: DataFrame, uploads: DataFrame) -> DataFrame:
-    """Rows of all other uploads. Usually none or few are left out."""
-    if uploads.isEmpty():
-        return rows
-    return rows.join(bounded_broadcast(uploads.select("source_key")), "source_key", "left_anti")
+    """Rows of all other uploads; the size of `uploads` decides how they are joined."""
+    return rows.join(uploads.select("source_key"), "source_key", "left_anti")

@@ -1,15 +1,16 @@
-"""Staged tables and size-checked broadcasts."""
+"""Staged tables."""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.session import new_work_path
 
-# Rows of a per-file table that may be sent to every executor (some 200 bytes each).
-MAX_BROADCAST_ROWS = 50_000
-
+# File names that one scan is given; the driver holds no more at a time.
+FILES_PER_SCAN = 500
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several outputs read, and cut its lineage.
@@ -23,12 +24,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_count_up_to(df: DataFrame, limit: int) -> int:
-    """The row count, or limit + 1 for anything larger."""
-    return df.limit(limit + 1).count()
-
+def stage_files(rows: DataFrame, files: DataFrame, name: str, then) -> DataFrame:
+    """Staged `then(rows)` of the files that `files` names in `file_path`, and no others.
 
-def bounded_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a staged table for broadcast if it is small; otherwise leave a shuffle join,
-    where adaptive execution splits skewed keys."""
-    return F.broadcast(df) if row_count_up_to(df, limit) <= limit else df.hint("merge")
+    The names go into the scan's filter, a chunk at a time, so that other files are not
+    opened however many are named; each chunk adds to one staged table.
+    """
+    spark = rows.sparkSession
+    path = new_work_path(spark, name)
+    then(rows.limit(0)).write.parquet(path)
+    names = (r.file_path for r in files.select("file_path").toLocalIterator())
+    while chunk := list(itertools.islice(names, FILES_PER_SCAN)):
+        then(rows.filter(F.col("file_path").isin(chunk))).write.mode("append").parquet(path)
+    return spark.read.schema(then(rows).schema).parquet(path)

@@ -14,12 +14,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storeledger.contract import INPUT_COLUMNS
 from storeledger.functions import python_list
-from storeledger.plans.staging import bounded_broadcast, row_count_up_to, stage
+from storeledger.plans.staging import stage, stage_files
 from storeledger.operators.verdicts import NO_COLUMNS
 from storeledger.sources.names import decoded, object_key, source_key
 
@@ -27,9 +27,6 @@ USUAL_HEADER = ",".join(INPUT_COLUMNS)
 WIDTH = len(INPUT_COLUMNS)
 POSITIONS = [f"p{i}" for i in range(WIDTH)]
 
-# Files named in a filter at most; beyond it the lookup is a join.
-MAX_NAMED_FILES = 500
-
 
 @dataclass
 class Landing:
@@ -115,28 +112,23 @@ def _header_texts(spark: SparkSession, landing: Landing, unusual: DataFrame) ->
         F.col("_metadata.file_block_start").alias("block_start"),
         "value",
     )
-    lines = only_files(lines, unusual)
-    return (
-        lines.filter((F.col("block_start") == 0) & _has_text(F.col("value")))
-        .withColumn("line_id", F.monotonically_increasing_id())
-        .groupBy("file_path")
-        .agg(F.min_by("value", "line_id").alias("header"))
-    )
 
+    def first_lines(part: DataFrame) -> DataFrame:
+        return (
+            part.filter((F.col("block_start") == 0) & _has_text(F.col("value")))
+            .withColumn("line_id", F.monotonically_increasing_id())
+            .groupBy("file_path")
+            .agg(F.min_by("value", "line_id").alias("header"))
+        )
 
-def only_files(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of the given files: named in the scan filter if few, else by join."""
-    if row_count_up_to(files, MAX_NAMED_FILES) <= MAX_NAMED_FILES:
-        named = [r.file_path for r in files.select("file_path").collect()]
-        return rows.filter(F.col("file_path").isin(named)) if named else rows.limit(0)
-    return rows.join(files.select("file_path"), "file_path", "left_semi")
+    return stage_files(lines, unusual, "headers", first_lines)
 
 
 # --- Header rules ----------------------------------------------------------------------
 
 
 def header_names(header: Column) -> Column:
-    """Column names of a header line: quotes removed, blanks and repeats named as pandas does."""
+    """Column names of a header line: quotes removed, blanks named as pandas does."""
     fields = F.regexp_extract_all(
         F.concat(F.lit(","), header), F.lit(r',("[^"]*+(?:""[^"]*+)*+"|[^,]*)'), 1
     )
@@ -150,11 +142,21 @@ def header_names(header: Column) -> Column:
         plain, lambda name, i: F.when(name == "", F.concat(F.lit("Unnamed: "), i)).otherwise(name)
     )
 
-    def numbered(name: Column, i: Column) -> Column:
-        earlier = F.size(F.filter(F.slice(named, F.lit(1), i), lambda other: other == name))
-        return F.when(earlier == 0, name).otherwise(F.concat(name, F.lit("."), earlier))
+    return named
+
 
-    return F.transform(named, numbered)
+def numbered_names(headers: DataFrame) -> DataFrame:
+    """(file_path, names): repeats of a name get .1, .2 and so on, as pandas names them.
+
+    Fields are ranked as rows, so a header of very many fields takes no longer per field.
+    """
+    repeat = F.row_number().over(Window.partitionBy("file_path", "name").orderBy("at")) - 1
+    label = F.when(repeat == 0, F.col("name")).otherwise(F.concat("name", F.lit("."), repeat))
+    fields = headers.select("file_path", F.posexplode("names").alias("at", "name"))
+    labels = fields.select("file_path", F.struct("at", label.alias("label")).alias("field"))
+    return labels.groupBy("file_path").agg(
+        F.transform(F.sort_array(F.collect_list("field")), lambda f: f["label"]).alias("names")
+    )
 
 
 def header_error(names: Column) -> Column:
@@ -185,8 +187,10 @@ def file_verdicts(spark: SparkSession, landing: Landing) -> DataFrame:
     """
     scanned = stage(scan_files(spark, landing), "files")
     unusual = scanned.filter(~F.col("usual_header")).select("file_path")
-    headers = _header_texts(spark, landing, unusual).select(
-        "file_path", header_names(F.col("header")).alias("names")
+    headers = numbered_names(
+        _header_texts(spark, landing, unusual).select(
+            "file_path", header_names(F.col("header")).alias("names")
+        )
     )
     names = F.col("names")
     positions = F.array(*[F.array_position(names, c).cast("int") for c in INPUT_COLUMNS])
@@ -226,17 +230,15 @@ def raw_rows(spark: SparkSession, landing: Landing, verdicts: DataFrame) -> Data
         "file_path", "open_quotes", "positions", "width", refused.alias("refused")
     )
     spanning = special.filter("open_quotes")
-    parts = [_mapped(landing.rows(spark, multi_line=False), special, spanning=False)]
+    by_line = _mapped(landing.rows(spark, multi_line=False), special, spanning=False)
     # Files whose quoted fields span lines cannot be split by line: read those whole.
-    if not spanning.isEmpty():
-        rows = only_files(landing.rows(spark, multi_line=True), spanning)
-        parts.append(_mapped(rows, special, spanning=True))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    whole = stage_files(landing.rows(spark, multi_line=True), spanning, "spanning", lambda r: r)
+    return by_line.unionByName(_mapped(whole, special, spanning=True))
 
 
 def _mapped(rows: DataFrame, special: DataFrame, spanning: bool) -> DataFrame:
     by_place = F.array(*POSITIONS)
-    joined = rows.join(bounded_broadcast(special), "file_path", "left").filter(
+    joined = rows.join(special, "file_path", "left").filter(
         F.coalesce(F.col("open_quotes"), F.lit(False)) == F.lit(spanning)
     )
     columns = [

@@ -24,7 +24,12 @@ from storeledger.functions import (
     with_products,
 )
 from storeledger.sources import names
-from storeledger.sources.landing import _field_count, header_error, header_names
+from storeledger.sources.landing import (
+    _field_count,
+    header_error,
+    header_names,
+    numbered_names,
+)
 
 
 def _apply(spark, values, expression, kind="string"):
@@ -161,7 +166,9 @@ def test_header_names(spark):
         "a,b,a,a": ["a", "b", "a.1", "a.2"],
         " a,A": [" a", "A"],
     }
-    assert _apply(spark, list(cases), header_names) == list(cases.values())
+    headers = spark.createDataFrame(list(zip(cases, cases)), "file_path string, header string")
+    named = headers.select("file_path", header_names(F.col("header")).alias("names"))
+    assert {r.file_path: r.names for r in numbered_names(named).collect()} == cases
 
 
 def test_header_error_lists_both(spark):

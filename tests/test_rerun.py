@@ -78,8 +78,8 @@ def test_latest_upload_of_a_day_stands(spark, tmp_path):
     assert tables_now["bad"] == [] and tables_now["rows"] == [("01", "2026-04-18", 1, 0)]
 
 
-def test_lookups_by_join_give_the_same(spark, tmp_path, monkeypatch):
-    """With no room for named files or broadcasts, the joins give the same outcome."""
+def test_any_number_of_named_files_gives_the_same(spark, tmp_path, monkeypatch):
+    """One file name per scan gives the same outcome as all in one."""
     raw = tmp_path / "raw"
     store_file(raw, "store_01_20260418.csv", GOOD, BAD)
     store_file(raw, "store_02_20260418.csv", "paid,A1,C1,P1,2024-02-01,1,7",
@@ -95,8 +95,7 @@ def test_lookups_by_join_give_the_same(spark, tmp_path, monkeypatch):
         )
 
     usual = look()
-    monkeypatch.setattr(landing, "MAX_NAMED_FILES", 0)
-    monkeypatch.setattr(staging.bounded_broadcast, "__defaults__", (0,))
+    monkeypatch.setattr(staging, "FILES_PER_SCAN", 1)
     assert look() == usual
     assert usual[0]["store_04_20260418.csv"][0] == "error" and len(usual[1]) == 3
 
