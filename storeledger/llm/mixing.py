@@ -141,7 +141,7 @@ def schedule(sources: DataFrame) -> DataFrame:
     rank = F.row_number().over(inside) - 1
     return (
         slots.withColumn("_rank", rank)
-        .join(counts, ["source_no", "_chunk"])
+        .join(counts.hint("merge"), ["source_no", "_chunk"])
         .select("slot", "source_no", (F.col("_base") + F.col("_rank")).alias("block"))
     )
 
@@ -162,11 +162,14 @@ def mix(
 
     Sizes of null or 0 take no part; a null source is a source. Repeated rows each have
     a place in their source's stream. The order is by md5 of doc_id, so reruns agree.
-    Sources are few beside documents: their table is ordered in one task.
+    Sources are few beside documents: their table is ordered in one task. Slots and
+    sums grow with the documents, though their exploded plans look small: they are
+    joined by shuffle at every size, never broadcast.
     """
     rows = docs.select(
         "doc_id", "source", F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"), *carried
     )
+    rows = staged(rows, "mix-sizes")  # Sizes are counted from the texts once.
     targets = staged(source_targets(rows, weights, max_passes), "mix-targets")
     rows = rows.join(targets, rows["source"].eqNullSafe(targets["source"]), "left").select(
         "doc_id", rows["source"], "size", "source_no", "source_size", "target", *carried
@@ -194,7 +197,7 @@ def mix(
         F.greatest("from_token", edge).alias("from_token"),
         F.least("to_token", edge + block_tokens).alias("to_token"),
     )
-    return rows, pieces.join(slots, ["source_no", "block"])
+    return rows, pieces.join(slots.hint("merge"), ["source_no", "block"])
 
 
 def words_taken(
@@ -215,7 +218,7 @@ def words_taken(
     )
     key = F.when(F.col("size") > 0, F.col("start"))
     rows = rows.withColumn("start", key)
-    return rows.join(sums, ["source_no", "start"], "left").select(
+    return rows.join(sums.hint("merge"), ["source_no", "start"], "left").select(
         "doc_id",
         "size",
         "source_size",
@@ -254,10 +257,14 @@ def documents_taken(
         .groupBy("source_no", "start")
         .agg(F.count("*").cast("int").alias("_takes"))
     )
-    taken = rows.filter("size > 0").join(takes, ["source_no", "start"]).select("_row", "_takes")
+    taken = (
+        rows.filter("size > 0")
+        .join(takes.hint("merge"), ["source_no", "start"])
+        .select("_row", "_takes")
+    )
     return (
         numbered.select("_row", "_whole")
-        .join(taken, "_row")
+        .join(taken.hint("merge"), "_row")
         .select("_whole", F.explode(F.sequence(F.lit(1), F.col("_takes"))))
         .select("_whole.*")
     )
