@@ -16,6 +16,8 @@ from storeledger.llm.common import staged, word_count
 RUN = 3
 # A run of fewer sentences counts too if it has so many words.
 LONG_RUN_WORDS = 50
+# A run's place is its first position times this, plus its number of sentences.
+SPAN = 256
 # A sentence ends after a mark and its closing quotes, before white space, or with its line.
 _BREAK = (
     r"(?=[\x20\x09-\x0D])"
@@ -96,13 +98,15 @@ def substring_dedup(
             F.transform(said, word_count).alias("_sizes"),
         )
         .select("_id", "_mark", F.explode(_runs(F.col("_hashes"), F.col("_sizes"), run, long_words)))
-        .select("_id", "_mark", "col.at", "col.n", "col.h1", "col.h2")
-    )
+        # Position and length in one number: rows stay narrow.
+        .select("_id", "_mark", (F.col("col.at").cast("long") * SPAN + F.col("col.n")).alias("span"),
+                "col.h1", "col.h2")
+    )
     runs = staged(runs, "sentence-runs")
 
     place = F.struct(
         F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_mark").alias("mark"),
-        F.col("at").alias("at"),
+        F.col("span").alias("span"),
     )
     repeated = (
         runs.groupBy("h1", "h2")
@@ -110,10 +114,13 @@ def substring_dedup(
         .filter(F.col("first") != F.col("final"))
         .select("h1", "h2", "first")
     )
+    # Written first, so that the join shuffles both sides and a hot run can be split.
+    repeated = staged(repeated, "repeated-runs")
     later = runs.withColumn("place", place).join(repeated, ["h1", "h2"])
+    at = F.floor(F.col("span") / SPAN).cast("int")
     spots = later.filter(F.col("place") != F.col("first")).select(
-        "_id", "_mark",
-        F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("spot"),
+        "_id", "_mark", F.explode(F.sequence(at, at + (F.col("span") % SPAN).cast("int") - 1))
+        .alias("spot"),
     )
     # A document's list holds its own sentences only, each once.
     removed = (
