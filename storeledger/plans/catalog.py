@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -625,6 +626,32 @@ def stream_ingest(spark, sf_dir):
     return tables.read_good_data(spark, f"{output}/processed/good_data")
 
 
+@register("stream_replayed", _SQL["sink_roundtrip"])
+def stream_replayed(spark, sf_dir):
+    """Micro-batches that are delivered twice leave the tables as one delivery does."""
+    output = new_work_path(spark, "replayed-tables")
+    for _ in range(2):  # A checkpoint of its own: the second stream takes all files again.
+        checkpoint = new_work_path(spark, "replay-checkpoint")
+        ingest_arrivals(spark, _landing_zone(spark, sf_dir), output, checkpoint).awaitTermination()
+    return tables.read_good_data(spark, f"{output}/processed/good_data")
+
+
+@register(
+    "partition_discovery",
+    _landing_sql(
+        """SELECT store, "date", COUNT(*) AS rows FROM landed JOIN accepted USING (source_key)
+WHERE validation_errors = '' GROUP BY ALL"""
+    ),
+)
+def partition_discovery(spark, sf_dir):
+    """A catalogue table over the folder, whose partitions a repair makes visible."""
+    _, output = _ingested(spark, sf_dir)
+    name = f"good_data_{uuid.uuid4().hex}"
+    tables.create_good_data_table(spark, name, f"{output}/processed/good_data")
+    tables.refresh_partitions(spark, name)
+    return spark.table(name).groupBy("store", "date").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @register(
     "latest_file_wins",
     """WITH uploads AS (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,16 +36,17 @@ def build_session(app_name: str = "storeledger", master: str | None = None, **co
 def work_root(spark: SparkSession) -> str:
     """The shared folder for staged tables: `spark.checkpoint.dir` of the session.
 
-    Where it is unset, a local-mode session gets a temporary folder; a cluster
-    session must name one, since a machine-local folder is not shared.
+    Where it is unset, a session in one JVM gets a temporary folder; on a cluster it is
+    the session's warehouse, which all executors share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = os.path.join(tempfile.gettempdir(), "storeledger-work")
+        if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            folder = os.path.join(tempfile.gettempdir(), "storeledger-work")
+        else:
+            folder = spark.conf.get("spark.sql.warehouse.dir")
     return folder.rstrip("/")
 
 

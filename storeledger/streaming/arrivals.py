@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from storeledger.plans.ingest import Ingested, ingest
+from storeledger.plans.staging import scratch
 from storeledger.sources.names import source_key
 
 # Paths a micro-batch may name; they pass through the driver.
@@ -60,16 +61,18 @@ def ingest_arrivals(
             return
         latest = max(row.at for row in named)
         now = batch.sparkSession.sql("SELECT current_timestamp() AS now").first().now
-        found = ingest(
-            batch.sparkSession,
-            [row.upload for row in named],
-            output,
-            run_id=f"batch-{batch_id:012d}",
-            arrived_by=max(latest, now),
-            **settings,
-        )
-        if on_batch:
-            on_batch(found)
+        # What the batch staged goes when it is done; its tables stay.
+        with scratch(batch.sparkSession):
+            found = ingest(
+                batch.sparkSession,
+                [row.upload for row in named],
+                output,
+                run_id=f"batch-{batch_id:012d}",
+                arrived_by=max(latest, now),
+                **settings,
+            )
+            if on_batch:
+                on_batch(found)
 
     return (
         arrivals(spark, landing, max_files)
