@@ -193,7 +193,11 @@ def kept_documents(
     """The rows of `docs` that the rules keep, with all their columns, each judged alone."""
     whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = _judged(measured(docs, whole_row, text_col), rules)
-    return rows.filter("kept").select("_id.*")
+    # A filter on `kept` alone would be pushed below the projections, and each step's
+    # expression copied into it as often as the next one uses it. A row number beside
+    # the verdict holds the filter where it stands.
+    rows = rows.withColumn("_place", F.monotonically_increasing_id())
+    return rows.filter("kept AND _place >= 0").select("_id.*")
 
 
 def _judged(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
