@@ -300,6 +300,9 @@ def near_duplicates(
     classes = (
         sets.filter("n > 0 AND id IS NOT NULL").groupBy(*marks).agg(F.min("id").alias("rep"))
     )
+    # Written before they are joined: the join then shuffles both sides, so that a set
+    # or bucket that very many documents share can be split.
+    classes = staged(classes, "class-heads")
     member_keys = F.when(F.col("id") == F.col("rep"), F.col("keys"))
     members = sets.join(classes, marks, "left").select(
         "id", "n", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep"),
@@ -316,6 +319,7 @@ def near_duplicates(
         .filter(F.col("center") != F.col("last"))
         .select("key", "center")
     )
+    centers = staged(centers, "bucket-heads")
     edges = (
         buckets.join(centers, "key")
         .filter(F.col("id") != F.col("center"))
