@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storeledger.llm.common import staged
+
 # Permitted sequence lengths in words, with the cost of a bin of each: its length, and a
 # fixed price for starting it.
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -99,11 +101,7 @@ def pack(
     passed through; an empty table gives an empty result. Longer documents than the
     largest capacity are cut into pieces that fill bins of their own, and a rest.
     """
-    from storeledger.llm.common import staged
-
-    pieces = staged(
-        pieces_of(docs, F.coalesce(size, F.lit(0)), capacities, id_col), "pieces"
-    )
+    pieces = staged(pieces_of(docs, F.coalesce(size, F.lit(0)), capacities, id_col), "pieces")
     shards = max(1, -(-pieces.count() // rows_per_shard))
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -35,7 +35,7 @@ CAPTURE_SCHEMA = (
 def _header_safe(value: Column) -> Column:
     """A header value: control characters percent-encoded, null as empty."""
     value = F.coalesce(value.cast("string"), F.lit(""))
-    for char in ("\r", "\n", "\x0b", "\x0c", "\x00", "\x85", " ", " "):
+    for char in ("\r", "\n", "\x0b", "\x0c", "\x00", "\x85", "\u2028", "\u2029"):
         coded = "".join(f"%{b:02X}" for b in char.encode())
         value = F.replace(value, F.lit(char), F.lit(coded))
     return value

@@ -5,11 +5,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import math
 import random
 import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from storeledger.llm import (
@@ -144,8 +146,8 @@ def test_merge_spans_ranges(spark):
     rows = [(f"a{i % 4}", i, str(i), "http://hot/", "hot)/", "d", 1, "x", "response", None, i // 4)
             for i in range(200)]
     runs = spark.createDataFrame(rows, warc.CAPTURE_SCHEMA + ", seq long")
-    runs = runs.withColumn("seq", F.row_number().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("archive").orderBy("page_id")))
+    in_run = Window.partitionBy("archive").orderBy("page_id")
+    runs = runs.withColumn("seq", F.row_number().over(in_run))
     out = warc.merge_runs(runs, captures_per_range=30).collect()
     out.sort(key=lambda r: (r.range_no, r.place))
     assert len({r.range_no for r in out}) > 3
@@ -335,7 +337,7 @@ def test_top_k(spark):
     rows += [(1000, [1.0]), (1001, None), (1002, [1.0, None]), (1003, [float("nan")] * 6),
              (1004, [float("inf")] * 6), (None, [1.0] * 6), (50, [2.0] * 6), (7, rows[7][1])]
     table = spark.createDataFrame([(*r, 3) for r in rows], "vec_id long, embedding array<double>, shard int")
-    whole = [(i, [__import__("math").floor(256 * x) for x in v]) for i, v in rows
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
              if i is not None and v is not None and all(x is not None and abs(x) < 1e300 for x in v)]
     want = Counter()
     for q, a in whole:
