@@ -193,11 +193,7 @@ def kept_documents(
     """The rows of `docs` that the rules keep, with all their columns, each judged alone."""
     whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = _judged(measured(docs, whole_row, text_col), rules)
-    # A filter on `kept` alone would be pushed below the projections, and each step's
-    # expression copied into it as often as the next one uses it. A row number beside
-    # the verdict holds the filter where it stands.
-    rows = rows.withColumn("_place", F.monotonically_increasing_id())
-    return rows.filter("kept AND _place >= 0").select("_id.*")
+    return rows.filter("kept").select("_id.*")
 
 
 def _judged(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -213,6 +209,8 @@ def _judged(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
             broken = broken.when(value < rule.low, F.lit(f"{rule.measure} < {rule.low}"))
         if rule.high is not None:
             broken = broken.when(value > rule.high, F.lit(f"{rule.measure} > {rule.high}"))
-    return rows.withColumns(
-        {"base_failed": base_failed, "kept": broken.isNull(), "broken_rule": broken}
-    )
+    # A filter on `kept` would be pushed below the projections, and each step's expression
+    # copied into it as often as the next one uses it. A row number in the verdict, which
+    # is never negative, holds such filters where they stand.
+    kept = broken.isNull() & (F.monotonically_increasing_id() >= 0)
+    return rows.withColumns({"base_failed": base_failed, "kept": kept, "broken_rule": broken})
