@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from storeledger.llm.common import staged
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: how the vocabulary's tokenizer cuts text before merging.
 PATTERN = (
@@ -64,6 +66,7 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
     counts = lengths.groupBy(size.alias("n_tokens")).agg(F.count("*").alias("n_docs"))
     counts = counts.withColumn("block", F.floor(F.col("n_tokens") / LENGTHS_PER_BLOCK))
     counts = counts.withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
+    counts = staged(counts, "length-counts")  # Texts are encoded once.
     blocks = counts.groupBy("block").agg(
         F.sum("n_docs").alias("block_docs"), F.sum("tokens").alias("block_tokens")
     )
