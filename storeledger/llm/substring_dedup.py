@@ -1,7 +1,7 @@
 """Substring dedup: runs of consecutive sentences that repeat anywhere in the corpus.
 
-Every run of `RUN` sentences is hashed, and so is every shorter run of many words; runs
-are grouped by hash over all documents, and sentences under any occurrence but the
+Every run of `RUN` sentences is hashed, and so is every shorter run of many words; a run
+that shorter hashed runs cover is left out, since they say the same. Runs are grouped by hash over all documents, and sentences under any occurrence but the
 first are removed. Grouping folds to the first occurrence before the shuffle, so a run
 that a third of all documents share never meets in one task.
 """
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from storeledger.llm.common import staged, word_count
 
 RUN = 3
-# A run of fewer sentences counts too if it has so many words.
+# Words of a long passage. A run of fewer sentences counts too if it has half of them, as
+# a passage may start and end inside sentences.
 LONG_RUN_WORDS = 50
 # A run's place is its first position times this, plus its number of sentences.
 SPAN = 256
@@ -34,7 +35,8 @@ def sentences(text: Column) -> Column:
 
 
 def _runs(hashes: Column, sizes: Column, run: int, long_words: int) -> Column:
-    """(at, n, h1, h2) of each run: `run` sentences, or the shortest one of many words."""
+    """(at, n, h1, h2) of each run: `run` sentences, or fewer with half of `long_words`."""
+    enough = (long_words + 1) // 2
 
     def one(i: Column, n: int) -> Column:
         part = [F.get(hashes, i + k) for k in range(n)]
@@ -48,14 +50,17 @@ def _runs(hashes: Column, sizes: Column, run: int, long_words: int) -> Column:
     def starts(n: int) -> Column:
         return F.sequence(F.lit(0), F.size(hashes) - n)
 
-    def long_enough(n: int):
-        """Of n sentences, many words, but too few without the last one."""
+    def needed(n: int):
+        """Of n sentences: a run, unless the two runs of n - 1 inside it are runs too."""
 
         def test(i: Column) -> Column:
             sizes_here = [F.get(sizes, i + k) for k in range(n)]
             words = sum(sizes_here[1:], sizes_here[0])
-            fits = words >= long_words
-            return fits & (words - sizes_here[-1] < long_words) if n > 1 else fits
+            fits = F.lit(True) if n == run else words >= enough
+            if n == 1:
+                return fits
+            inside = words - F.greatest(sizes_here[0], sizes_here[-1])
+            return fits & (inside < enough)
 
         return test
 
@@ -63,10 +68,10 @@ def _runs(hashes: Column, sizes: Column, run: int, long_words: int) -> Column:
         return lambda i: one(i, n)
 
     none = F.array().cast("array<struct<at:int,n:int,h1:bigint,h2:bigint>>")
-    runs = [F.when(F.size(hashes) >= run, F.transform(starts(run), of(run)))]
-    for n in range(1, run):
-        long_starts = F.filter(starts(n), long_enough(n))
-        runs.append(F.when(F.size(hashes) >= n, F.transform(long_starts, of(n))))
+    runs = []
+    for n in range(1, run + 1):
+        needed_starts = F.filter(starts(n), needed(n))
+        runs.append(F.when(F.size(hashes) >= n, F.transform(needed_starts, of(n))))
     return F.concat(*[F.coalesce(r, none) for r in runs])
 
 

@@ -327,6 +327,19 @@ def test_substring_dedup(spark):
     assert substring_dedup.substring_dedup(docs.limit(0)).isEmpty()
 
 
+def test_substring_dedup_of_passages_cut_inside_sentences(spark):
+    def said(tag: str, n: int) -> str:
+        return " ".join(f"{tag}{i}" for i in range(n)) + "."
+
+    cut = "mine " + said("b", 3) + " " + said("c", 5) + " " + said("d", 42) + " " + said("e", 3)
+    rows = [(1, f"One {cut}"), (2, f"Two {cut[:-1]} goes on."),
+            (3, said("f", 60) + " " + said("g", 10)), (4, said("f", 60) + " " + said("g", 10) + " New."),
+            (5, said("h", 10) + " " + said("i", 10)), (6, said("h", 10) + " " + said("i", 10) + " New.")]
+    docs = documents(spark, [(i, t, "s") for i, t in rows])
+    out = {r.doc_id: r.removed for r in substring_dedup.substring_dedup(docs).collect()}
+    assert out == {1: [], 2: [1, 2], 3: [], 4: [0, 1], 5: [], 6: []}
+
+
 # --- Exact top-k ---------------------------------------------------------------------
 
 
