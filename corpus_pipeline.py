@@ -25,19 +25,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, 0.8 or more.
 
-    Of rows that repeat the kept id, one stays; rows with a null id all stay.
+    Rows that repeat an id stand or fall by their own texts; of rows that repeat id and
+    text, one stays. Rows with a null id all stay.
     """
-    found = near_dup.near_duplicates(docs, shingle=5)
-    gone = found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    # The dropped ids grow with the documents: shuffled at every size, never broadcast.
-    kept = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
-    repeated = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL")
-    repeated = staged(repeated.select(F.col("doc_id").alias("_again")), "repeated-ids")
-    if not repeated.isEmpty():
-        again = F.col("doc_id") == F.col("_again")
-        one_each = kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(repeated, again, "left_anti").unionByName(one_each)
-    return kept
+    return near_dup.kept_documents(docs, shingle=5)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

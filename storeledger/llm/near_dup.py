@@ -1,8 +1,9 @@
 """MinHash near-duplicates: one-permutation hashing, banded buckets, star-shaped edges.
 
-Documents with equal shingle sets fold into classes first. Each class gets a
+Documents with equal shingle sets fold into classes first, and a class is one node with a
+number of its own: an id may stand on rows with different texts. Each class gets a
 one-permutation signature with optimal densification; bands of it are buckets. A bucket
-proposes a star: its smallest id with each other member, so that edges stay linear in
+proposes a star: its smallest node with each other member, so that edges stay linear in
 its size. Stars are confirmed on full shingle sets, which also tells how each member
 differs from the centre. Members that their stars left in different components are
 settled by an exact bound on those differences, and what the bound can't rule out is
@@ -108,7 +109,7 @@ def _lists(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def signed(docs: DataFrame, hashing: Hashing) -> DataFrame:
-    """(id, n, fp1, fp2, keys) of (id, text) rows; no keys without shingles."""
+    """(id, mark, row, n, fp1, fp2, keys) of (id, text) rows; no keys without shingles."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,17 +123,24 @@ def signed(docs: DataFrame, hashing: Hashing) -> DataFrame:
                 keys.append(hashing.band_keys(hashing.signature(s)) if len(s) else [])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"),
+                    *(batch.column(c) for c in ("id", "mark", "row")),
                     pa.array(n, pa.int64()),
                     pa.array(one, pa.int64()),
                     pa.array(two, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["id", "n", "fp1", "fp2", "keys"],
+                names=["id", "mark", "row", "n", "fp1", "fp2", "keys"],
             )
 
-    rows = docs.select("id", _word_hashes(F.col("text")).alias("hashes"))
-    return rows.mapInArrow(sign, "id long, n long, fp1 long, fp2 long, keys array<long>")
+    rows = docs.select(
+        "id",
+        F.xxhash64("text").alias("mark"),
+        F.monotonically_increasing_id().alias("row"),
+        _word_hashes(F.col("text")).alias("hashes"),
+    )
+    return rows.mapInArrow(
+        sign, "id long, mark long, row long, n long, fp1 long, fp2 long, keys array<long>"
+    )
 
 
 def confirmed(edges: DataFrame, texts: DataFrame, hashing: Hashing) -> DataFrame:
@@ -287,31 +295,83 @@ def near_duplicates(
 
     Documents are linked if the sets of their `shingle`-word runs, A-Z lower-cased,
     have an intersection of `similar` percent of their union or more; component_id is
-    the smallest id that links reach, and kept marks the document with that id. A text
+    the smallest id that links reach, and kept marks one document of that id. A text
     of fewer words is one shingle; without words, or null, a text is linked with
     nothing. A row with a null id takes no part: its component is null and it is kept.
-    Rows that repeat an id are one node, with the links of all their texts. Other
+    Rows that repeat an id are documents of their own, linked by their texts only. Other
     columns are ignored. An empty table gives an empty result.
     """
+    found = _judged(docs, shingle, similar, id_col, text_col, bands, rows)
+    return found.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept"
+    )
+
+
+def kept_documents(
+    docs: DataFrame,
+    shingle: int = 5,
+    similar: int = SIMILAR,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of `docs` that `near_duplicates` keeps, with all their columns.
+
+    Rows are told apart by id and text; of rows that repeat both, one stays.
+    """
+    found = _judged(docs, shingle, similar, id_col, text_col).select("id", "mark", "n", "kept")
+    found = staged(found.filter("id IS NOT NULL AND n > 0"), "judged")
+    per_text = found.groupBy("id", "mark").agg(
+        F.count_if("kept").alias("stays"), F.count("*").alias("rows")
+    )
+    gone = per_text.filter("stays = 0").select(F.col("id").alias("_id"), F.col("mark").alias("_of"))
+    again = per_text.filter("stays > 0 AND rows > 1")
+    again = staged(again.select(F.col("id").alias("_id"), F.col("mark").alias("_of")), "repeated")
+    marked = docs.withColumn("_mark", F.xxhash64(text_col))
+    same = (F.col(id_col).cast("long") == F.col("_id")) & (F.col("_mark") == F.col("_of"))
+    # The dropped rows grow with the documents: shuffled at every size, never broadcast.
+    kept = marked.join(gone.hint("merge"), same, "left_anti")
+    if not again.isEmpty():
+        one_each = kept.join(again, same, "left_semi").dropDuplicates([id_col, "_mark"])
+        kept = kept.join(again, same, "left_anti").unionByName(one_each)
+    return kept.drop("_mark")
+
+
+def _judged(
+    docs: DataFrame,
+    shingle: int,
+    similar: int,
+    id_col: str,
+    text_col: str,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
+    """(id, mark, n, component_id, kept) of each row; mark is a hash of its text."""
     hashing = Hashing(shingle, bands, rows)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = staged(signed(source, hashing), "signatures")
     marks = ["n", "fp1", "fp2"]
+    # A class is a node; its head is the row of the smallest id.
     classes = (
-        sets.filter("n > 0 AND id IS NOT NULL").groupBy(*marks).agg(F.min("id").alias("rep"))
+        sets.filter("n > 0 AND id IS NOT NULL")
+        .groupBy(*marks)
+        .agg(F.min(F.struct("id", "mark", "row")).alias("head"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
     # Written before they are joined: the join then shuffles both sides, so that a set
     # or bucket that very many documents share can be split.
     classes = staged(classes, "class-heads")
-    member_keys = F.when(F.col("id") == F.col("rep"), F.col("keys"))
+    member_keys = F.when(F.col("row") == F.col("head.row"), F.col("keys"))
+    has_id = F.col("id").isNotNull()
     members = sets.join(classes, marks, "left").select(
-        "id", "n", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep"),
+        "id", "mark", "row", "n",
+        F.when(has_id, F.col("node")).alias("node"),
+        F.when(has_id, F.col("head")).alias("head"),
         member_keys.alias("keys"),
     )
     members = staged(members, "classes")
 
-    buckets = members.filter(F.col("keys").isNotNull()).select(
-        F.explode("keys").alias("key"), "id"
+    buckets = members.filter(F.col("node").isNotNull() & F.col("keys").isNotNull()).select(
+        F.explode("keys").alias("key"), F.col("node").alias("id")
     )
     centers = (
         buckets.groupBy("key")
@@ -330,9 +390,21 @@ def near_duplicates(
     named = edges.select(F.col("center").alias("id")).unionByName(
         edges.select(F.col("member").alias("id"))
     )
-    # The ids grow with the documents: they are shuffled at every size, never broadcast.
-    wanted = named.distinct().hint("merge")
-    texts = staged(source.join(wanted, "id", "left_semi"), "candidates")
+    heads = classes.select(F.col("node").alias("id"), "head")
+    wanted = named.distinct().join(heads, "id").select(
+        F.col("head.id").alias("of"), F.col("head.mark").alias("mark"), F.col("id").alias("node")
+    )
+    # The nodes grow with the documents: they are shuffled at every size, never broadcast.
+    # Rows that repeat an id and its text give one text.
+    texts = (
+        source.withColumnRenamed("id", "of")
+        .withColumn("mark", F.xxhash64("text"))
+        .join(wanted.hint("merge"), ["of", "mark"])
+        .groupBy("of", "mark")
+        .agg(F.first("node").alias("id"), F.first("text").alias("text"))
+        .select("id", "text")
+    )
+    texts = staged(texts, "candidates")
 
     stars = staged(confirmed(edges, texts, hashing), "confirmed-stars")
     links = stars.filter(_is_link(similar)).select(
@@ -361,11 +433,15 @@ def near_duplicates(
         if facts["links"] == facts["all"]:
             break
 
-    found = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep")
-    return found.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+    # A component's head is the least of its classes' heads.
+    tops = labels.join(heads, "id").groupBy("component").agg(F.min("head").alias("top"))
+    tops = labels.join(staged(tops, "component-heads"), "component")
+    tops = staged(tops.select(F.col("id").alias("node"), "top"), "tops")
+    top = F.coalesce("top", "head")
+    return members.join(tops, "node", "left").select(
+        "id",
+        "mark",
+        "n",
+        F.coalesce(top["id"], F.col("id")).alias("component_id"),
+        F.coalesce(F.col("row") == top["row"], F.lit(True)).alias("kept"),
     )

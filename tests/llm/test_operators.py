@@ -416,6 +416,22 @@ def test_near_duplicates(spark, shingle):
     assert near_dup.near_duplicates(docs.limit(0)).isEmpty()
 
 
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    base, other, third = prose(1, 120), prose(2, 200), prose(3, 60)
+    texts = [(5, base), (5, other), (5, other), (5, third), (6, base + " more"), (4, third + " end"),
+             (9, other + " more"), (9, prose(4, 90)), (8, None), (8, "")]
+    docs = documents(spark, [(i, t, "s") for i, t in texts])
+    rows = near_dup.near_duplicates(docs).collect()
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in rows)
+    assert got == Counter({(5, 5, True): 2, (5, 5, False): 1, (5, 4, False): 1, (6, 5, False): 1,
+                           (4, 4, True): 1, (9, 5, False): 1, (9, 9, True): 1, (8, 8, True): 2})
+    kept = near_dup.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(5, base), (5, other), (4, third + " end"), (9, prose(4, 90)), (8, None), (8, "")]
+    )
+
+
 def test_open_pairs_bound_never_hides_a_link():
     """Members of a strange centre: every true link is among the pairs left open."""
     import numpy as np
