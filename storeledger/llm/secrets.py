@@ -31,10 +31,21 @@ MIN_ASSIGNED = 6
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_=.-]{20,}")
+# Line breaks and signs may be escaped, as in strings of JSON and of source code.
+ESCAPE = re.compile(r"\\+(?:[rnt/]|u00[0-9A-Fa-f]{2})")
 PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,.\-]*?)-----END \1-----"
+    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----"
+    r"((?:[A-Za-z0-9+/=\s:,.\-]|\\+(?:[rnt/]|u00[0-9A-Fa-f]{2}|(?=\s)))*?)-----END \1-----"
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+# Where a key may begin inside a run: a DER sequence, an OpenSSH key or a PEM file. Each
+# start is tried; then lines of base64, with their quotes and escapes, count as one run.
+KEY_START = re.compile(r"(?=(M[A-I][A-Za-z0-9+/_-]{18}|b3BlbnNzaC1rZXktdjE|LS0tLS1CRUdJTi))")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+PADS = re.compile(r"={0,2}")
+NEXT_LINE = re.compile(
+    r"[ \t\"',>]*(?:\\+[rn]|\\*\r?\n|\r)(?:[ \t\"',>\r\n]|\\+[rnt])*(?=[A-Za-z0-9+/_-])|\\+(?=/)"
+)
 ANY_HEX = re.compile(r"[0-9A-Fa-f]{64,}")
 TOKEN = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
 OPENSSH_MAGIC = b"openssh-key-v1\x00"
@@ -112,7 +123,80 @@ def _is_token(candidate: str) -> bool:
     return isinstance(said, dict) and isinstance(said.get("alg"), str)
 
 
+def _key_size(data: bytes) -> int | None:
+    """How many bytes a DER key takes by its head; None if it can't be one."""
+    if len(data) < 8 or data[0] != 0x30:
+        return None
+    count = data[1] & 0x7F if data[1] & 0x80 else 0
+    if count > 4 or (data[1] & 0x80 and not count):
+        return None
+    size = int.from_bytes(data[2 : 2 + count], "big") if count else data[1]
+    # A version or a sequence comes first in every kind of key.
+    return 2 + count + size if data[2 + count] in (0x02, 0x30) else None
+
+
+def _openssh_size(data: bytes) -> int:
+    """How many bytes an OpenSSH key takes; all there are if its lengths don't fit."""
+    at, left, keys = len(OPENSSH_MAGIC), 3, None
+    while left:
+        at, left = at + 4 + int.from_bytes(data[at : at + 4], "big"), left - 1
+        if at > len(data):
+            return len(data)
+        if not left and keys is None:
+            keys = int.from_bytes(data[at : at + 4], "big")
+            # As many public keys, then the private ones as one string.
+            at, left = at + 4, keys + 1
+    return at
+
+
+def _wrapped(text: str, start: int, most: int | None) -> tuple[str, int]:
+    """Up to `most` base64 characters from a place on, over line breaks, and where they end."""
+    parts, have, at = [], 0, start
+    while m := LINE.match(text, at):
+        end = m.end() if most is None else min(m.end(), at + most - have)
+        parts.append(text[at:end])
+        have, at = have + end - at, end
+        if have == most or not (gap := NEXT_LINE.match(text, at)):
+            break
+        at = gap.end()
+    return "".join(parts), at
+
+
+def _key_at(text: str, start: int) -> int | None:
+    """Where a base64 key that begins at a place ends, or None."""
+    if text.startswith("M", start):
+        size = _key_size(_unbase64(text[start : start + 12]) or b"")
+        if size is None:
+            return None
+        most = -(-size * 4 // 3)
+        body, end = _wrapped(text, start, most)
+        data = _unbase64(body) if len(body) == most else None
+        good = data is not None and is_private_key(data)
+    else:
+        body, end = _wrapped(text, start, None)
+        data = _unbase64(body[: len(body) - (len(body) % 4 == 1)]) or b""
+        if data.startswith(OPENSSH_MAGIC):
+            good, size = is_private_key(data), _openssh_size(data)
+        else:
+            m = PEM.search(data.decode("latin-1"))
+            good, size = m is not None and _pem_key(m[2]), m.end() if m else 0
+        if good and size < len(data):
+            end = _wrapped(text, start, -(-size * 4 // 3))[1]
+    return PADS.match(text, end).end() if good else None
+
+
+def _unescaped(body: str) -> str:
+    """The body of a PEM block with its escapes undone."""
+
+    def sign(m: re.Match) -> str:
+        code = m[0].lstrip("\\")
+        return chr(int(code[1:], 16)) if code[0] == "u" else {"/": "/"}.get(code, "\n")
+
+    return ESCAPE.sub(sign, body).replace("\\", "")
+
+
 def _pem_key(body: str) -> bool:
+    body = _unescaped(body)
     lines = [x for x in body.splitlines() if x.strip()]
     if any(":" in x for x in lines):  # Encrypted in the old style: headers, then opaque bytes.
         body = "".join(x for x in lines if ":" not in x)
@@ -122,11 +206,38 @@ def _pem_key(body: str) -> bool:
     return data is not None and is_private_key(data)
 
 
+def _base64_keys(text: str, pems: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of base64 keys outside PEM blocks: whole runs, and starts inside them."""
+    taken = list(pems)
+    for m in BASE64.finditer(text):
+        data = _unbase64(m[0])
+        if data and is_private_key(data) and not any(a <= m.start() < b for a, b in pems):
+            # A first line may pass alone; the key goes on over its other lines.
+            taken.append((m.start(), max(m.end(), _key_at(text, m.start()) or 0)))
+    taken.sort()
+    found, k, free = [], 0, 0
+    for m in KEY_START.finditer(text):
+        start = m.start()
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        if start < free or (k < len(taken) and taken[k][0] <= start):
+            continue
+        end = _key_at(text, start)
+        if end is not None:
+            found.append((start, end))
+            free = end
+    return found + [span for span in taken if span not in pems]
+
+
 def spans_of(text: str | None) -> list[tuple[str, int, int]]:
     """Every span of a text: (kind, start, end) in code points, by start, then by kind."""
     if not text:
         return []
     found: list[tuple[str, int, int]] = []
+    pems = []
+    if "PRIVATE KEY-----" in text:
+        pems = [(m.start(), m.end()) for m in PEM.finditer(text) if _pem_key(m[2])]
+    found += [("pem", *span) for span in pems]
     small = text.lower()
     if any(word in small for word in ASSIGN_WORDS):
         found += [
@@ -140,14 +251,9 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
         for m in ANY_HEX.finditer(text):
             if len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0])):
                 found.append(("keyhex", m.start(), m.end()))
-        for m in BASE64.finditer(text):
-            data = _unbase64(m[0])
-            if data and is_private_key(data):
-                found.append(("key64", m.start(), m.end()))
+        found += [("key64", *span) for span in _base64_keys(text, pems)]
         if "." in text:
             found += [("token", m.start(), m.end()) for m in TOKEN.finditer(text) if _is_token(m[0])]
-    if "PRIVATE KEY-----" in text:
-        found += [("pem", m.start(), m.end()) for m in PEM.finditer(text) if _pem_key(m[2])]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

@@ -531,6 +531,40 @@ def test_structural_secrets():
     assert secrets.is_private_key(openssh + b"rest") and not secrets.is_private_key(openssh[:30])
 
 
+def test_keys_that_are_escaped_wrapped_or_glued():
+    key = base64.b64encode(rsa_key()).decode()
+    lines = [key[i : i + 64] for i in range(0, len(key), 64)]
+    pem = "\n".join(["-----BEGIN RSA PRIVATE KEY-----", *lines, "-----END RSA PRIVATE KEY-----"])
+    again = base64.b64encode(pem.encode()).decode()
+    openssh = secrets.OPENSSH_MAGIC + b"".join(
+        len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")
+    ) + (1).to_bytes(4, "big") + bytes(range(100))
+    ssh = base64.b64encode(openssh).decode()
+    kinds = {
+        json.dumps({"private_key": pem + "\n"}): "pem",
+        json.dumps(json.dumps({"private_key": pem.replace("\n", "\r\n")})): "pem",
+        json.dumps({"private_key": pem}).replace("/", "\\/").replace("+", "\\u002b"): "pem",
+        "see\n" + "\n".join(lines) + "\nEnd of it": "key64",
+        "see " + "\\n".join(lines) + " there": "key64",
+        f"see key_{key} there": "key64",
+        f"see /{key.rstrip('=')}/etc there": "key64",
+        f"see x/{again} there": "key64",
+        f"see key_{ssh[:70]}\n{ssh[70:]} there": "key64",
+    }
+    for text, kind in kinds.items():
+        spans = [s for s in secrets.spans_of(text) if s[0] not in secrets.BASE_KINDS]
+        assert [s[0] for s in spans] == [kind], text
+        left = secrets.redacted(text, secrets.spans_of(text), "#")
+        assert not any(part in left for part in (lines[0][:40], lines[3][:40], again[-20:-4], ssh[-20:-4]))
+    whole = openssh[:-100] + b"".join(len(x).to_bytes(4, "big") + x for x in (bytes(50), bytes(range(200))))
+    ssh = base64.b64encode(whole).decode().rstrip("=")
+    text = f"see {ssh[:70]}\n{ssh[70:]}\nEnd"
+    assert secrets.spans_of(text) == [("key64", 4, len(text) - 4)]
+    cut = "\n".join(lines[:-1])
+    for text in (f"see {cut} there and more words", f"see key_{key[9:]}"):
+        assert not [s for s in secrets.spans_of(text) if s[0] not in secrets.BASE_KINDS]
+
+
 def brute_base(text):
     text = text or ""
     assign = re.compile(r"((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr]"
