@@ -3,6 +3,7 @@
 Vectors are dealt to shards by a hash of their row. Queries go in blocks of bounded size;
 a block is first searched in one shard, and the k-th score found there bounds the search
 of all other shards, so that whole balls fall away before any of their rows is scored.
+Scores whose sums doubles can't hold are bounded by them and computed in whole numbers.
 """
 
 from __future__ import annotations
@@ -23,8 +24,28 @@ ROWS_PER_SHARD = 16_384
 LEAF_ROWS = 128
 # What one block of queries may hold, in bytes of its vectors: sent to every executor.
 BLOCK_BYTES = 16 << 20
-# Whole components beyond this, either way, count as this; sums then fit a long.
-LARGEST = float(1 << 24)
+# Whole components are counted in units of 1 / UNIT.
+UNIT = 256
+# Doubles hold whole numbers up to here.
+EXACT = float(1 << 53)
+# Rows with components beyond this are scored without bounds: products could overflow.
+GIANT = 2.0**400
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+
+
+def _whole(vector: np.ndarray) -> list[int]:
+    """The components in units, as Python integers."""
+    return [int(x * UNIT) if abs(x) < GIANT else int(x) * UNIT for x in vector.tolist()]
+
+
+def _score(one: list[int], other: list[int]) -> int:
+    """The exact inner product; beyond a long, the long's limit."""
+    return max(LEAST, min(MOST, sum(a * b for a, b in zip(one, other, strict=True))))
+
+
+def _bar(floor: int) -> float:
+    """A double that no score of `floor` or more is below, but for rounding."""
+    return -np.inf if floor == LEAST else float(floor)
 
 
 @dataclass
@@ -81,45 +102,63 @@ class BallTree:
         """
         centers, radii = np.array(self.centers), np.array(self.radii)
         norms = np.sqrt((queries**2).sum(axis=1))
+        lengths = np.sqrt((self.vectors**2).sum(axis=1))
         # A little above the bound, so that rounding can't hide an equal score.
         bounds = (queries @ centers.T + norms[:, None] * radii) * 1.0
-        bounds += 1e-9 * (np.abs(bounds) + norms[:, None] * (1 + np.abs(centers).max())) + 1e-6
+        bounds += 1e-9 * (np.abs(bounds) + norms[:, None] * (1 + np.abs(centers).max())) + 1e-9
+        bounds *= UNIT * UNIT
         for q in range(len(queries)):
             bound, own, best = bounds[q], own_ids[q], []  # best: (score, -id), worst first
-            floor = least[q]
+            floor, ints = int(least[q]), None
+            bar = _bar(floor)
             heap = [(-bound[0], 0)]
             while heap:
                 upper, node = heapq.heappop(heap)
-                if -upper < floor:
+                if -upper < bar:
                     break
                 if self.children[node] is not None:
                     for child in self.children[node]:
-                        if bound[child] >= floor:
+                        if bound[child] >= bar:
                             heapq.heappush(heap, (-min(-upper, bound[child]), child))
                     continue
                 start, end = self.spans[node]
-                scores = self.vectors[start:end] @ queries[q]
-                for i in np.nonzero(scores >= floor)[0]:
+                scores = (self.vectors[start:end] @ queries[q]) * (UNIT * UNIT)
+                # No partial sum exceeds the product of the lengths, so these are exact.
+                reach = norms[q] * lengths[start:end] * (UNIT * UNIT)
+                exact = reach < EXACT / 2
+                near = np.where(exact, scores, scores + 1e-12 * len(queries[q]) * reach)
+                for i in np.nonzero(near >= bar - 1e-15 * abs(bar) if floor != LEAST else near >= bar)[0]:
                     vec_id = int(self.ids[start + i])
-                    item = (int(scores[i]), -vec_id)
                     if vec_id == own:
                         continue
+                    if exact[i]:
+                        score = int(scores[i])
+                    else:
+                        ints = ints or _whole(queries[q])
+                        score = _score(_whole(self.vectors[start + i]), ints)
+                    item = (score, -vec_id)
+                    if score < floor:
+                        continue
                     if len(best) < k:
                         heapq.heappush(best, item)
                     elif item > best[0]:
                         heapq.heapreplace(best, item)
-                    if len(best) == k:
-                        floor = max(floor, best[0][0])
+                    if len(best) == k and best[0][0] > floor:
+                        floor = best[0][0]
+                        bar = _bar(floor)
             yield from ((q, -neg, score) for score, neg in best)
 
 
 def whole_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, vector) with floor(256 * x) of each component; unfit vectors left out."""
+    """(vec_id, vector) with floor(256 * x) / 256 of each component; unfit vectors left out."""
     x = F.col("_vector")
     fit = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))))
-    low, high = F.lit(-LARGEST), F.lit(LARGEST)
+    # Doubles from 2^44 on have no digits below 1 / 256.
     whole = F.transform(
-        x, lambda v: F.floor(F.greatest(low, F.least(high, v * 256.0))).cast("double")
+        x,
+        lambda v: F.when(
+            F.abs(v) < float(1 << 44), F.floor(v * float(UNIT)).cast("double") / float(UNIT)
+        ).otherwise(v),
     )
     rows = table.select(
         F.col(id_col).cast("long").alias("vec_id"),
@@ -130,7 +169,7 @@ def whole_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _matrix(vectors, width: int) -> np.ndarray:
-    """Rows as doubles, shorter ones filled with 0; sums of products stay whole."""
+    """Rows as doubles, shorter ones filled with 0."""
     out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
@@ -152,7 +191,7 @@ def top_k(
     id. Ties go to the smaller id. Vectors that are null, or hold null or non-finite
     components, and rows with a null id take no part. A shorter vector counts as filled
     up with 0. Rows that repeat an id are candidates each, and queries each under the
-    same query_id. Components are clipped to +-2^24. An empty table, or one without
+    same query_id. Scores beyond a long count as the long's limit. An empty table, or one without
     queries, gives an empty result; fewer candidates than k give fewer rows.
     """
     spark = table.sparkSession
@@ -193,7 +232,7 @@ def top_k(
             .agg(F.min("score").alias("kth"), F.count("*").alias("n"))
             .filter(F.col("n") == k)
         ).toPandas()
-        least = np.full(len(ids), -np.inf)
+        least = np.full(len(ids), LEAST, np.int64)
         least[kth["query"].to_numpy(dtype=np.int64)] = kth["kth"]
         floor = spark.sparkContext.broadcast(least)
         rest = _search_shards(indexed.filter("shard > 0"), sent, floor, number, k, width, schema)
@@ -214,14 +253,36 @@ def _search_shards(shards: DataFrame, sent, floor, number: int, k: int, width: i
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         ids, vectors = sent.value
-        least = np.full(len(ids), -np.inf) if floor is None else floor.value
-        tree = BallTree.build(
-            group["vec_id"].to_numpy(), _matrix(group["vector"].tolist(), width)
-        )
-        hits = list(tree.search(vectors, ids, k, least))
+        least = np.full(len(ids), LEAST, np.int64) if floor is None else floor.value
+        own, rows = group["vec_id"].to_numpy(), _matrix(group["vector"].tolist(), width)
+        hits = list(_search(own, rows, ids, vectors, k, least))
         out = pd.DataFrame(hits, columns=["query", "vec_id", "score"], dtype="int64")
         out.insert(0, "block", number)
         out.insert(2, "query_id", ids[out["query"]])
         return out
 
     return shards.groupBy("shard").applyInPandas(search, schema)
+
+
+def _search(
+    own: np.ndarray, rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, least: np.ndarray
+) -> Iterator[tuple[int, int, int]]:
+    """(query, id, score) from a tree, and one by one for rows and queries of giant size."""
+    giant_row = (np.abs(rows) > GIANT).any(axis=1)
+    giant_query = (np.abs(queries) > GIANT).any(axis=1)
+    usual = np.nonzero(~giant_query)[0]
+    if len(usual) and not giant_row.all():
+        tree = BallTree.build(own[~giant_row], rows[~giant_row])
+        for q, vec_id, score in tree.search(queries[usual], ids[usual], k, least[usual]):
+            yield int(usual[q]), vec_id, score
+    giants = np.nonzero(giant_row)[0]
+    for q in range(len(queries)) if len(giants) else np.nonzero(giant_query)[0]:
+        ints = _whole(queries[q])
+        scored = (
+            (_score(_whole(rows[r]), ints), -int(own[r]))
+            for r in (range(len(rows)) if giant_query[q] else giants)
+            if own[r] != ids[q]
+        )
+        for score, neg in heapq.nlargest(k, scored):
+            if score >= least[q]:
+                yield int(q), -neg, score

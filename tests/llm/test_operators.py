@@ -9,6 +9,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import Window
@@ -364,6 +365,25 @@ def test_top_k(spark):
     assert [tuple(r) for r in topk.top_k(few).collect()] == [(0, 1, 1, 256 * 512)]
 
 
+@pytest.mark.parametrize("size", [2.0**17, 2.0**21, 1e30, 1e306])
+def test_top_k_of_large_components(spark, size):
+    draw = random.Random(5)
+    rows = [(i, [draw.choice([draw.gauss(0, 1), draw.gauss(0, size)]) for _ in range(40)])
+            for i in range(200)]
+    rows += [(1000 + i, [size + i / 256, 0.5, -size] + [0.0] * 37) for i in range(5)]
+    rows += [(1050, [size, 1.0, size] + [0.0] * 37), (2050, [-size, 0.0, size] + [0.0] * 37)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [math.floor(Fraction(x) * 256) for x in v]) for i, v in rows]
+    want = Counter()
+    for q, a in whole:
+        if q % 50 == 0:
+            scored = sorted((-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(a, b)))), i)
+                            for i, b in whole if i != q)[:5]
+            want.update((q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1))
+    got = topk.top_k(table.repartition(3), rows_per_shard=60)
+    assert Counter(map(tuple, got.collect())) == want
+
+
 # --- Near duplicates -----------------------------------------------------------------
 
 
