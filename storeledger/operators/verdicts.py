@@ -1,7 +1,7 @@
 """Per-upload verdicts: accepted or refused, and why.
 
-Rules apply in this order, the first failure names the error: encoding, row
-width, header, order dates, file name.
+Rules apply in this order, the first failure names the error: changed while read,
+encoding, row width, header, order dates, file name.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from storeledger.functions import order_day, order_day_layout
 from storeledger.operators.validate import is_good
 from storeledger.sources.names import file_date_of, name_error, store_of
 
+CHANGED = "File changed while it was read"
 UNDECODABLE = "File is not valid UTF-8"
 # Fixed value: the message for a file without any header line.
 NO_COLUMNS = "No columns to parse from file"
@@ -65,6 +66,20 @@ def outcomes(files: DataFrame, findings: DataFrame) -> DataFrame:
     )
 
 
+def refuse_changed(judged: DataFrame, changed: DataFrame) -> DataFrame:
+    """Outcomes with an error for each upload that `changed` (source_key) names."""
+    marked = judged.join(changed.withColumn("_changed", F.lit(True)), "source_key", "left")
+    is_changed = F.col("_changed").isNotNull()
+    return marked.select(
+        "source_key",
+        "store",
+        "date",
+        "modified_at",
+        F.when(is_changed, F.lit("error")).otherwise(F.col("status")).alias("status"),
+        F.when(is_changed, F.lit(CHANGED)).otherwise(F.col("error")).alias("error"),
+    )
+
+
 def unseen(expected: DataFrame, judged: DataFrame) -> DataFrame:
     """Outcomes of expected uploads that no file stands for: nothing to parse."""
     key = F.col("source_key")

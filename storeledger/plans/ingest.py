@@ -22,7 +22,7 @@ from storeledger.contract import (
 from storeledger.operators import alerts, summary, validate, verdicts
 from storeledger.plans import sinks
 from storeledger.plans.staging import stage
-from storeledger.sources.landing import Landing, file_verdicts, raw_rows
+from storeledger.sources.landing import Landing, changed_uploads, file_verdicts, raw_rows
 from storeledger.sources.names import with_partition
 
 
@@ -70,6 +70,7 @@ def examine(
         validate.validate(raw_rows(spark, landing, files), carry_max=("overlong",)), "validated"
     )
     judged = verdicts.outcomes(files, verdicts.row_findings(validated))
+    judged = verdicts.refuse_changed(judged, changed_uploads(spark, landing, files))
     if expected is not None:
         judged = judged.unionByName(verdicts.unseen(expected, judged))
     outcomes = stage(judged, "outcomes")

@@ -53,6 +53,13 @@ class Landing:
     def lines(self, spark: SparkSession) -> DataFrame:
         return self._known(self._options(spark.read).text(self.paths))
 
+    def present(self, spark: SparkSession) -> DataFrame:
+        """(file_path, modified_now) of the files there are now; none is opened."""
+        return self._options(spark.read.format("binaryFile")).load(self.paths).select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_modification_time").alias("modified_now"),
+        )
+
     def rows(self, spark: SparkSession, multi_line: bool) -> DataFrame:
         """Fields by position; `_corrupt` holds the text of rows of another width."""
         reader = (
@@ -208,6 +215,17 @@ def file_verdicts(spark: SparkSession, landing: Landing) -> DataFrame:
     return stage(verdicts, "file-verdicts")
 
 
+def changed_uploads(spark: SparkSession, landing: Landing, files: DataFrame) -> DataFrame:
+    """source_key of uploads with a file that was rewritten or removed since the first scan.
+
+    Called when the rows are staged: files that are still as the first scan saw them were
+    so for the second scan too.
+    """
+    now = files.join(landing.present(spark), "file_path", "left")
+    same = F.coalesce(F.col("modified_now") == F.col("modified_at"), F.lit(False))
+    return now.filter(~same).select("source_key").distinct()
+
+
 # --- Second scan: rows -------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ import os
 
 import pytest
 
+from storeledger.operators.verdicts import CHANGED
 from storeledger.plans import staging
 from storeledger.plans.ingest import examine, ingest
 from storeledger.sources import landing, tables
@@ -109,6 +110,30 @@ def test_later_arrivals_wait(spark, tmp_path):
     assert examine(spark, str(tmp_path / "raw"), arrived_by=early).outcomes.count() == 0
 
 
+@pytest.mark.parametrize("change", ["rewritten", "removed"])
+def test_files_that_change_between_the_scans_are_refused(spark, tmp_path, monkeypatch, change):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    path = store_file(raw, NAME, GOOD, BAD)
+    store_file(raw, "store_02_20260418.csv", GOOD)
+    ingest(spark, str(raw), str(out))
+    first = _read(spark, out)
+
+    def late_rows(*args):
+        if change == "removed":
+            path.unlink()
+        else:
+            store_file(raw, NAME, GOOD.replace("A1", "A9"))
+            later = path.stat().st_mtime + 60
+            os.utime(path, (later, later))
+        return landing.raw_rows(*args)
+
+    monkeypatch.setattr("storeledger.plans.ingest.raw_rows", late_rows)
+    found = by_file(ingest(spark, str(raw), str(out)).outcomes.collect())
+    assert found[NAME].status == "error" and found[NAME].error == CHANGED
+    assert found["store_02_20260418.csv"].status == "success"
+    assert _read(spark, out) == first
+
+
 def test_stream_equals_batch(spark, tmp_path):
     raw = tmp_path / "raw"
     for n in range(5):
