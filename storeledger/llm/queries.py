@@ -16,6 +16,8 @@ from storeledger.llm import (
     substring_dedup,
     token_counts,
     topk,
+    toxicity,
+    turn_repair,
     url_filter,
     warc,
 )
@@ -293,3 +295,16 @@ def op10_url_filter(spark, sf_dir):
     model = url_filter.train(labelled)
     judged = url_filter.url_filter(_table(spark, sf_dir, "pages"), URL_RULES, model)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@_register("op11_toxicity")
+def op11_toxicity(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    machine = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(docs, machine)
+
+
+@_register("op12_turn_repair")
+def op12_turn_repair(spark, sf_dir):
+    conversations = _table(spark, sf_dir, "conversations")
+    return turn_repair.repair(conversations, turn_repair.damaged(conversations))
