@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.llm import (
+    hard_negatives,
     mixing,
     near_dup,
     packing,
@@ -308,3 +309,36 @@ def op11_toxicity(spark, sf_dir):
 def op12_turn_repair(spark, sf_dir):
     conversations = _table(spark, sf_dir, "conversations")
     return turn_repair.repair(conversations, turn_repair.damaged(conversations))
+
+
+@_register(
+    "op13_hard_negatives",
+    """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS vec
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         list_dot_product(a.vec, c.vec)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id
+  WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM s WHERE same
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score,
+         s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.vec_id)::INT AS rank
+  FROM p JOIN s ON p.r = s.r
+  WHERE p.place <= 5 AND NOT s.same
+    AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""",
+)
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), label=label)
