@@ -12,9 +12,11 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +33,12 @@ MIN_ASSIGNED = 6
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_=.-]{20,}")
-# Line breaks and signs may be escaped, as in strings of JSON and of source code.
-ESCAPE = re.compile(r"\\+(?:[rnt/]|u00[0-9A-Fa-f]{2})")
-PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----"
-    r"((?:[A-Za-z0-9+/=\s:,.\-]|\\+(?:[rnt/]|u00[0-9A-Fa-f]{2}|(?=\s)))*?)-----END \1-----"
+# Line breaks and signs may be escaped, as in strings of JSON and of source code. Runs of
+# backslashes are taken whole and never tried again from within.
+ESCAPE = re.compile(r"(?<!\\)\\++(?:[rnt/]|u00[0-9A-Fa-f]{2})")
+PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,64}PRIVATE KEY)-----")
+PEM_BODY = re.compile(
+    r"(?:[A-Za-z0-9+/=\s:,.\-]|\\++(?:[rnt/]|u00[0-9A-Fa-f]{2}|(?=\s)))*+"
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 # Where a key may begin inside a run: a DER sequence, an OpenSSH key or a PEM file. Each
@@ -44,18 +47,21 @@ KEY_START = re.compile(r"(?=(M[A-I][A-Za-z0-9+/_-]{18}|b3BlbnNzaC1rZXktdjE|LS0tL
 LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 PADS = re.compile(r"={0,2}")
 NEXT_LINE = re.compile(
-    r"[ \t\"',>]*(?:\\+[rn]|\\*\r?\n|\r)(?:[ \t\"',>\r\n]|\\+[rnt])*(?=[A-Za-z0-9+/_-])|\\+(?=/)"
+    r"[ \t\"',>]*+(?:\\++[rn]|\\*+\r?\n|\r)(?:[ \t\"',>\r\n]|\\++[rnt])*+(?=[A-Za-z0-9+/_-])|\\+(?=/)"
 )
 ANY_HEX = re.compile(r"[0-9A-Fa-f]{64,}")
-TOKEN = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
+# A token begins with its run of letters, so no run is tried from within.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]*")
 OPENSSH_MAGIC = b"openssh-key-v1\x00"
+# Elements of a sequence that are looked at: no key has more.
+MOST_PARTS = 64
 
 
 def _der(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
     """(tag, start, end) of each element between two places, or None if lengths don't fit."""
     found = []
     while at < end:
-        if at + 2 > end:
+        if at + 2 > end or len(found) == MOST_PARTS:
             return None
         tag, size, at = data[at], data[at + 1], at + 2
         if size & 0x80:
@@ -70,17 +76,21 @@ def _der(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
     return found
 
 
+def _openssh_head(data: bytes, start: int) -> int | None:
+    """Where the number of keys of an OpenSSH key stands; None if it has no such head."""
+    at, sizes = start + len(OPENSSH_MAGIC), []
+    for _ in range(3):
+        sizes.append(int.from_bytes(data[at : at + 4], "big"))
+        at += 4 + sizes[-1]
+        if at > len(data):
+            return None
+    return at if sizes[0] and int.from_bytes(data[at : at + 4], "big") >= 1 else None
+
+
 def is_private_key(data: bytes) -> bool:
     """Whether bytes are a PKCS#1, PKCS#8 (plain or encrypted), SEC1, DSA or OpenSSH key."""
     if data.startswith(OPENSSH_MAGIC):
-        at, strings = len(OPENSSH_MAGIC), []
-        for _ in range(3):
-            size = int.from_bytes(data[at : at + 4], "big")
-            strings.append(data[at + 4 : at + 4 + size])
-            if at + 4 + size > len(data):
-                return False
-            at += 4 + size
-        return bool(strings[0]) and int.from_bytes(data[at : at + 4], "big") >= 1
+        return _openssh_head(data, 0) is not None
     outer = _der(data, 0, len(data))
     if not outer or len(outer) != 1 or outer[0][0] != 0x30:
         return False
@@ -135,54 +145,78 @@ def _key_size(data: bytes) -> int | None:
     return 2 + count + size if data[2 + count] in (0x02, 0x30) else None
 
 
-def _openssh_size(data: bytes) -> int:
-    """How many bytes an OpenSSH key takes; all there are if its lengths don't fit."""
-    at, left, keys = len(OPENSSH_MAGIC), 3, None
-    while left:
+def _openssh_size(data: bytes, start: int) -> int | None:
+    """How many bytes an OpenSSH key takes; all there are if its later lengths don't fit."""
+    at = _openssh_head(data, start)
+    if at is None:
+        return None
+    # As many public keys as the head says, then the private ones as one string.
+    left = int.from_bytes(data[at : at + 4], "big") + 1
+    at += 4
+    while left and at <= len(data):
         at, left = at + 4 + int.from_bytes(data[at : at + 4], "big"), left - 1
-        if at > len(data):
-            return len(data)
-        if not left and keys is None:
-            keys = int.from_bytes(data[at : at + 4], "big")
-            # As many public keys, then the private ones as one string.
-            at, left = at + 4, keys + 1
-    return at
-
-
-def _wrapped(text: str, start: int, most: int | None) -> tuple[str, int]:
-    """Up to `most` base64 characters from a place on, over line breaks, and where they end."""
-    parts, have, at = [], 0, start
-    while m := LINE.match(text, at):
-        end = m.end() if most is None else min(m.end(), at + most - have)
-        parts.append(text[at:end])
-        have, at = have + end - at, end
-        if have == most or not (gap := NEXT_LINE.match(text, at)):
-            break
-        at = gap.end()
-    return "".join(parts), at
-
-
-def _key_at(text: str, start: int) -> int | None:
-    """Where a base64 key that begins at a place ends, or None."""
-    if text.startswith("M", start):
-        size = _key_size(_unbase64(text[start : start + 12]) or b"")
-        if size is None:
-            return None
-        most = -(-size * 4 // 3)
-        body, end = _wrapped(text, start, most)
-        data = _unbase64(body) if len(body) == most else None
-        good = data is not None and is_private_key(data)
-    else:
-        body, end = _wrapped(text, start, None)
-        data = _unbase64(body[: len(body) - (len(body) % 4 == 1)]) or b""
-        if data.startswith(OPENSSH_MAGIC):
-            good, size = is_private_key(data), _openssh_size(data)
+    return min(at, len(data)) - start
+
+
+class _Run:
+    """Base64 characters from a place on, over line breaks, decoded once per alignment."""
+
+    def __init__(self, text: str, start: int) -> None:
+        self.starts, self.before, parts, have, at = [], [], [], 0, start
+        while m := LINE.match(text, at):
+            self.starts.append(at)
+            self.before.append(have)
+            parts.append(m[0])
+            have, at = have + len(m[0]), m.end()
+            if not (gap := NEXT_LINE.match(text, at)):
+                break
+            at = gap.end()
+        self.text, self.end, self.size = text, self.starts[-1] + have - self.before[-1], have
+        self.chars = "".join(parts)
+        self.decoded: dict[int, bytes] = {}
+        self.blocks: dict[int, list[tuple[int, int]]] = {}
+
+    def place(self, char: int) -> int:
+        """Where the text stands behind so many characters of the run."""
+        line = max(0, bisect_left(self.before, char) - 1)
+        return self.starts[line] + char - self.before[line]
+
+    def bytes_from(self, start: int) -> tuple[bytes, int, int]:
+        """The bytes of the run as a key at a place would read them, and where it begins."""
+        line = bisect_right(self.starts, start) - 1
+        char = self.before[line] + start - self.starts[line]
+        phase = char % 4
+        if phase not in self.decoded:
+            part = self.chars[phase:]
+            self.decoded[phase] = _unbase64(part[: len(part) - (len(part) % 4 == 1)]) or b""
+        return self.decoded[phase], (char - phase) // 4 * 3, char
+
+    def pem_from(self, phase: int, at: int) -> int | None:
+        """Where the first PEM key from a byte on ends."""
+        if phase not in self.blocks:
+            said = self.decoded[phase].decode("latin-1")
+            self.blocks[phase] = [(a, b) for a, b in _pem_blocks(said)]
+        place = bisect_left(self.blocks[phase], (at, 0))
+        return self.blocks[phase][place][1] if place < len(self.blocks[phase]) else None
+
+    def key_at(self, start: int) -> int | None:
+        """Where a base64 key that begins at a place ends, or None."""
+        data, at, char = self.bytes_from(start)
+        if self.text.startswith("M", start):
+            size = _key_size(data[at : at + 9])
+            if size is None or at + size > len(data) or not is_private_key(data[at : at + size]):
+                return None
+        elif data.startswith(OPENSSH_MAGIC, at):
+            size = _openssh_size(data, at)
+            if size is None:
+                return None
         else:
-            m = PEM.search(data.decode("latin-1"))
-            good, size = m is not None and _pem_key(m[2]), m.end() if m else 0
-        if good and size < len(data):
-            end = _wrapped(text, start, -(-size * 4 // 3))[1]
-    return PADS.match(text, end).end() if good else None
+            end = self.pem_from(char % 4, at)
+            if end is None:
+                return None
+            size = end - at
+        end = self.place(char + -(-size * 4 // 3))
+        return PADS.match(self.text, end).end()
 
 
 def _unescaped(body: str) -> str:
@@ -206,27 +240,49 @@ def _pem_key(body: str) -> bool:
     return data is not None and is_private_key(data)
 
 
+def _pem_blocks(text: str) -> list[tuple[int, int]]:
+    """(start, end) of PEM keys: each END mark with the last BEGIN mark of its kind before it."""
+    found, begun = [], None
+    for m in PEM_MARK.finditer(text):
+        if m[1] == "BEGIN":
+            begun = m
+            continue
+        if begun and begun[2] == m[2]:
+            body = PEM_BODY.match(text, begun.end(), m.start())
+            if body.end() == m.start() and _pem_key(body[0]):
+                found.append((begun.start(), m.end()))
+        begun = None
+    return found
+
+
 def _base64_keys(text: str, pems: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """(start, end) of base64 keys outside PEM blocks: whole runs, and starts inside them."""
-    taken = list(pems)
+    taken, k = [], 0
     for m in BASE64.finditer(text):
+        while k < len(pems) and pems[k][1] <= m.start():
+            k += 1
+        if k < len(pems) and pems[k][0] <= m.start():
+            continue
         data = _unbase64(m[0])
-        if data and is_private_key(data) and not any(a <= m.start() < b for a, b in pems):
+        if data and is_private_key(data):
             # A first line may pass alone; the key goes on over its other lines.
-            taken.append((m.start(), max(m.end(), _key_at(text, m.start()) or 0)))
-    taken.sort()
-    found, k, free = [], 0, 0
+            end = _Run(text, m.start()).key_at(m.start()) if KEY_START.match(text, m.start()) else 0
+            taken.append((m.start(), max(m.end(), end or 0)))
+    covered, found, k, free, run = sorted(pems + taken), [], 0, 0, None
     for m in KEY_START.finditer(text):
         start = m.start()
-        while k < len(taken) and taken[k][1] <= start:
+        while k < len(covered) and covered[k][1] <= start:
             k += 1
-        if start < free or (k < len(taken) and taken[k][0] <= start):
+        if start < free or (k < len(covered) and covered[k][0] <= start):
             continue
-        end = _key_at(text, start)
+        # Starts inside a run share what it decodes to.
+        if run is None or start >= run.end:
+            run = _Run(text, start)
+        end = run.key_at(start)
         if end is not None:
             found.append((start, end))
             free = end
-    return found + [span for span in taken if span not in pems]
+    return found + taken
 
 
 def spans_of(text: str | None) -> list[tuple[str, int, int]]:
@@ -236,7 +292,7 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
     found: list[tuple[str, int, int]] = []
     pems = []
     if "PRIVATE KEY-----" in text:
-        pems = [(m.start(), m.end()) for m in PEM.finditer(text) if _pem_key(m[2])]
+        pems = _pem_blocks(text)
     found += [("pem", *span) for span in pems]
     small = text.lower()
     if any(word in small for word in ASSIGN_WORDS):
@@ -282,10 +338,10 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ignored. Whole texts are scanned. An empty table gives an empty result.
     """
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 spans = spans_of(text)
                 base = [s for s in spans if s[0] in BASE_KINDS]
                 kinds = [s[0] for s in base]
@@ -297,15 +353,16 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                         len(spans) - len(base),
                     )
                 )
+            types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
             names = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_confirmed"]
-            out = pd.DataFrame(rows, columns=names)
-            out.insert(0, "id", batch["id"].to_numpy())
-            yield out
+            made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(types)]
+            # The id passes by as it is, whatever its type and size.
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *made], names=["id", *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .mapInPandas(
+        .mapInArrow(
             scan,
             f"id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, "
             "spans string, n_confirmed long",
