@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -69,7 +69,7 @@ class Machine:
 def fit(
     texts: list[np.ndarray],
     toxic: np.ndarray,
-    max_terms: int = MAX_TERMS,
+    kept: Sequence[int] | None = None,
     factors: int = FACTORS,
     epochs: int = 20,
     batch: int = 256,
@@ -79,22 +79,17 @@ def fit(
 ) -> Machine:
     """A machine from the bucket sets of texts and their labels (0 or 1).
 
-    Buckets are ranked by how far their share of labels departs from chance; the first
-    `max_terms` take part. Of labels that are all alike the machine learns that share alone.
+    `kept` are the buckets that take part, by default those of enough texts. Of labels
+    that are all alike the machine learns that share alone.
     """
     toxic = np.asarray(toxic, dtype=float)
     rate_of_all = float((toxic.sum() + 0.5) / (len(toxic) + 1))
     bias = float(np.log(rate_of_all / (1 - rate_of_all)))
-    flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    seen = np.bincount(flat, minlength=BUCKETS).astype(float)
-    hits = np.bincount(flat, weights=toxic[owner], minlength=BUCKETS)
-    share = toxic.mean() if len(toxic) else 0.0
-    spread = np.sqrt(np.maximum(seen * share * (1 - share), 1e-12))
-    far = np.where(seen >= LEAST_TEXTS, np.abs(hits - seen * share) / spread, 0.0)
-    kept = np.sort(np.argsort(-far, kind="stable")[:max_terms])
-    kept = kept[far[kept] >= LEAST_SIGMAS]
-    if not len(kept) or not 0 < share < 1:
+    if kept is None:
+        flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
+        kept = np.nonzero(np.bincount(flat, minlength=BUCKETS) >= LEAST_TEXTS)[0]
+    kept = np.sort(np.asarray(kept, dtype=np.int64))
+    if not len(kept) or not 0 < toxic.sum() < len(toxic):
         return Machine({}, bias, np.zeros(0), np.zeros((0, factors)))
 
     place = np.full(BUCKETS, -1)
@@ -170,13 +165,14 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     max_labelled: int = MAX_LABELLED,
+    max_terms: int = MAX_TERMS,
     **settings,
 ) -> Machine:
     """Fit a machine on at most `max_labelled` labelled rows that are not held out.
 
     The rows are those of the smallest hashes, so reruns agree. An id labelled several
     times counts as toxic if one label says so; null ids and null labels take no part. The
-    driver gets the sample's bucket numbers, never texts. Without labelled rows every
+    driver gets the numbers of telling terms in the sample, never texts. Without labelled rows every
     text scores alike.
     """
     known = (
@@ -196,11 +192,35 @@ def train(
     # An id may stand on very many rows: the bound holds for rows too.
     sample = sample.orderBy("at", "id").limit(max_labelled)
     sample = sample.join(F.broadcast(chosen), F.col("id") == F.col("_of"))
-    got = sample.orderBy("at", "id").select("buckets", "_label").toArrow()
+    sample = staged(sample.select("at", "id", "buckets", "_label"), "labelled-sample")
+    kept = [r.bucket for r in telling_terms(sample, max_terms).collect()]
+    mine = F.array(*[F.lit(b) for b in kept]) if kept else F.array().cast("array<int>")
+    got = sample.select("at", "id", "_label", F.array_intersect("buckets", mine).alias("buckets"))
+    got = got.orderBy("at", "id").toArrow()
     lists = got.column("buckets").combine_chunks()
     flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
     terms = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-    return fit(terms, np.asarray(got.column("_label").to_pylist(), dtype=float), **settings)
+    return fit(terms, np.asarray(got.column("_label").to_pylist(), dtype=float), kept, **settings)
+
+
+def telling_terms(sample: DataFrame, max_terms: int = MAX_TERMS) -> DataFrame:
+    """(bucket) of (buckets, _label) rows: the terms whose labels are furthest off chance.
+
+    Of a term's texts, the toxic ones are counted against the share of all texts, in
+    standard deviations.
+    """
+    facts = sample.agg(F.avg("_label").alias("share")).first()
+    share = float(facts["share"] or 0.0)
+    counts = (
+        sample.select(F.explode("buckets").alias("bucket"), "_label")
+        .groupBy("bucket")
+        .agg(F.count("*").alias("seen"), F.sum("_label").alias("hits"))
+        .filter(F.col("seen") >= LEAST_TEXTS)
+    )
+    spread = F.sqrt(F.col("seen") * F.lit(share * (1 - share) + 1e-12))
+    far = F.abs(F.col("hits") - F.col("seen") * F.lit(share)) / spread
+    counts = counts.withColumn("far", far).filter(F.col("far") >= LEAST_SIGMAS)
+    return counts.orderBy(F.col("far").desc(), "bucket").limit(max_terms).select("bucket")
 
 
 def toxicity(

@@ -47,13 +47,14 @@ def made_up():
     return rows
 
 
-def test_learns_a_pair_that_single_weights_miss(made_up):
+def test_learns_a_pair_that_single_weights_miss(spark, made_up):
     # Either word alone is clean. The pair tells, so no threshold on single words does.
-    texts = [terms(t) for _, t, _ in made_up[:3000]]
-    machine = toxicity.fit(texts, np.array([y for *_, y in made_up[:3000]]))
-    rest = made_up[3000:]
-    guessed = [chance(machine, t) >= 0.3 for _, t, _ in rest]
-    assert sum(g == bool(y) for g, (*_, y) in zip(guessed, rest)) >= 0.99 * len(rest)
+    docs = spark.createDataFrame([r[:2] for r in made_up], SCHEMA)
+    labels = spark.createDataFrame([(i, y) for i, _, y in made_up], "doc_id long, toxic int")
+    machine = toxicity.train(docs, labels)
+    rest = [(t, y) for i, t, y in made_up if zlib.crc32(str(i).encode()) % 4 == 2]
+    guessed = [chance(machine, t) >= 0.3 for t, _ in rest]
+    assert sum(g == bool(y) for g, (_, y) in zip(guessed, rest)) >= 0.99 * len(rest)
     assert chance(machine, "rotten islanders") > 0.5
     assert max(chance(machine, "rotten"), chance(machine, "islanders")) < 0.3
     assert np.isclose(chance(machine, made_up[0][1]), plain_score(machine, made_up[0][1]))
