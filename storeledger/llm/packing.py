@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from storeledger.llm.common import staged
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 START_COST = 16
 ROWS_PER_SHARD = 50_000
+_PLACED = ("piece", "piece_start", "length", "shard", "bin", "offset", "capacity")
 
 
 def best_fit(
@@ -105,19 +107,26 @@ def pack(
     shards = max(1, -(-pieces.count() // rows_per_shard))
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def place(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", id_col, "piece"], ascending=[False, True, True])
-        places, final = best_fit(group["length"].tolist(), capacities, start_cost)
-        group["bin"] = [b for b, _ in places]
-        group["offset"] = [o for _, o in places]
-        group["capacity"] = [final[b] for b, _ in places]
-        return group
+    def place(group: pa.Table) -> pa.Table:
+        # Ids stay in Arrow, so they are neither rounded nor made floats beside a null.
+        order = pc.sort_indices(
+            group,
+            [("length", "descending"), (id_col, "ascending"), ("piece", "ascending")],
+            null_placement="at_end",
+        )
+        group = group.take(order)
+        places, final = best_fit(group["length"].to_pylist(), capacities, start_cost)
+        made = {
+            "bin": [b for b, _ in places],
+            "offset": [o for _, o in places],
+            "capacity": [final[b] for b, _ in places],
+        }
+        for name, values in made.items():
+            group = group.append_column(name, pa.array(values, pa.int64()))
+        return group.select([id_col, *_PLACED])
 
     keyed = pieces.withColumn(
         "shard", F.pmod(F.xxhash64(id_col, "piece", "length"), F.lit(shards)).cast("long")
     )
-    return keyed.groupBy("shard").applyInPandas(
-        place,
-        f"{id_col} {kind}, piece long, piece_start long, length long, shard long, "
-        "bin long, offset long, capacity long",
-    )
+    fields = ", ".join(f"{name} long" for name in _PLACED)
+    return keyed.groupBy("shard").applyInArrow(place, f"`{id_col}` {kind}, {fields}")
