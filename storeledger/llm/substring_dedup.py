@@ -20,9 +20,12 @@ LONG_RUN_WORDS = 50
 # A run's place is its first position times this, plus its number of sentences.
 SPAN = 256
 # A sentence ends after a mark and its closing quotes, before white space, or with its line.
+# A run of white space is taken whole, from its first character only, so that long runs
+# are passed once.
 _BREAK = (
-    r"(?=[\x20\x09-\x0D])"
-    r"(?:(?<=[.!?…][\"'”’)\]]{0,3})[\x20\x09]+|[\x20\x09\x0B-\x0D]*\n[\x20\x09-\x0D]*)"
+    r"(?<![\x20\x09-\x0D])"
+    r"(?:(?<=[.!?…][\"'”’)\]]{0,3})[\x20\x09][\x20\x09-\x0D]*+"
+    r"|[\x20\x09\x0B-\x0D]*+\n[\x20\x09-\x0D]*+)"
 )
 
 
