@@ -291,19 +291,24 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+    """One row per input row: doc_id, n_shingles, component_id, kept, chosen.
 
     Documents are linked if the sets of their `shingle`-word runs, A-Z lower-cased,
     have an intersection of `similar` percent of their union or more; component_id is
-    the smallest id that links reach, and kept marks one document of that id. A text
-    of fewer words is one shingle; without words, or null, a text is linked with
-    nothing. A row with a null id takes no part: its component is null and it is kept.
-    Rows that repeat an id are documents of their own, linked by their texts only. Other
+    the smallest id that links reach, and kept marks the rows of that id: several where
+    the id is repeated. `chosen` marks just one row of each component. A text of fewer
+    words is one shingle; without words, or null, a text is linked with nothing. A row
+    with a null id takes no part: its component is null, and it is kept and chosen. Rows
+    that repeat an id are documents of their own, linked by their texts only. Other
     columns are ignored. An empty table gives an empty result.
     """
     found = _judged(docs, shingle, similar, id_col, text_col, bands, rows)
     return found.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept"
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        "component_id",
+        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.col("kept").alias("chosen"),
     )
 
 
@@ -345,7 +350,10 @@ def _judged(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """(id, mark, n, component_id, kept) of each row; mark is a hash of its text."""
+    """(id, mark, n, component_id, kept) of each row; mark is a hash of its text.
+
+    `kept` marks one row of each component.
+    """
     hashing = Hashing(shingle, bands, rows)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = staged(signed(source, hashing), "signatures")

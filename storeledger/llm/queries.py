@@ -282,7 +282,8 @@ FROM d LEFT JOIN n USING (doc_id) JOIN comp ON comp.id = d.doc_id
 """,
 )
 def op8_minhash_near_dup(spark, sf_dir):
-    return near_dup.near_duplicates(_documents(spark, sf_dir), shingle=2)
+    found = near_dup.near_duplicates(_documents(spark, sf_dir), shingle=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @_register("op9_secret_scan")
