@@ -206,15 +206,17 @@ def words_taken(
     max_passes: int = MAX_PASSES,
     block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, taken): one row per row of (doc_id, source, size).
+    """(doc_id, size, source_size, target, taken, first_slot) of each (doc_id, source, size).
 
-    `taken` counts the words of the row that the mix holds, repeats included. See `mix`
+    `taken` counts the words of the row that the mix holds, repeats included; `first_slot`
+    is the first slot of the schedule that holds some of them, null if none does. See `mix`
     for nulls and repeated rows; an empty table gives an empty result.
     """
     rows, pieces = mix(docs, weights, max_passes, block_tokens)
     # A row with words is known by its source and its start in the source's stream.
     sums = pieces.groupBy("source_no", "start").agg(
-        F.sum(F.col("to_token") - F.col("from_token")).alias("taken")
+        F.sum(F.col("to_token") - F.col("from_token")).alias("taken"),
+        F.min("slot").alias("first_slot"),
     )
     key = F.when(F.col("size") > 0, F.col("start"))
     rows = rows.withColumn("start", key)
@@ -224,6 +226,7 @@ def words_taken(
         "source_size",
         "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "first_slot",
     )
 
 
@@ -236,8 +239,10 @@ def documents_taken(
 ) -> DataFrame:
     """The rows of `docs` in the mix, whole, once for each pass that takes their first word.
 
-    A source's words come near its target, to within one document. Columns stay as they
-    are; rows without words are not taken. Needs doc_id and source columns.
+    They come in the order of the schedule, by the slot that holds that word, so every
+    stretch of the result mixes the sources near their weights. A source's words come
+    near its target, to within one document. Columns stay as they are; rows without words
+    are not taken. Needs doc_id and source columns.
     """
     columns = docs.columns
     # A number per row, written down, tells rows that repeat an id apart.
@@ -254,17 +259,12 @@ def documents_taken(
     takes = (
         pieces.join(sizes, "source_no")
         .filter(F.col("from_token") == first)
-        .groupBy("source_no", "start")
-        .agg(F.count("*").cast("int").alias("_takes"))
+        .select("source_no", "start", "slot", "from_token")
     )
     taken = (
         rows.filter("size > 0")
         .join(takes.hint("merge"), ["source_no", "start"])
-        .select("_row", "_takes")
-    )
-    return (
-        numbered.select("_row", "_whole")
-        .join(taken.hint("merge"), "_row")
-        .select("_whole", F.explode(F.sequence(F.lit(1), F.col("_takes"))))
-        .select("_whole.*")
+        .select("_row", "slot", "from_token")
     )
+    mixed = numbered.select("_row", "_whole").join(taken.hint("merge"), "_row")
+    return mixed.orderBy("slot", "from_token").select("_whole.*")

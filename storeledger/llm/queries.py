@@ -200,16 +200,32 @@ WITH d AS (
   FROM g
   WINDOW w AS (ORDER BY source_size / weight, no
                ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), plan AS (
+  SELECT no, ceil(floor(target) / 1024)::BIGINT AS blocks,
+         (sum(ceil(floor(target) / 1024)) OVER (ORDER BY no))::BIGINT AS high,
+         (sum(ceil(floor(target) / 1024)) OVER ())::BIGINT AS n
+  FROM t
+), step AS (
+  SELECT any_value(n) AS n, coalesce(nullif(arg_min(s, (abs(s - near), s)) % any_value(n), 0), 1) AS s
+  FROM (SELECT n, greatest(1, round(n * ((sqrt(5) - 1) / 2)))::BIGINT AS near,
+               unnest(range(1, 2 * n + 2)) AS s FROM (SELECT max(n) AS n FROM plan))
+  WHERE gcd(s, n) = 1
+), slots AS (
+  SELECT no, slot, row_number() OVER (PARTITION BY no ORDER BY slot) - 1 AS block
+  FROM (SELECT slot, slot * s % n AS point FROM (SELECT unnest(range(n)) AS slot, s, n FROM step))
+  JOIN plan ON point >= high - blocks AND point < high
 ), laid AS (
-  SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS quota,
+  SELECT doc_id, size, source_size, target, no, floor(target)::BIGINT AS quota,
          (sum(size) OVER (PARTITION BY no ORDER BY h, size
                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT AS start
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(size, quota - start)) + greatest(0, least(size, quota - start - source_size))
-        + greatest(0, least(size, quota - start - 2 * source_size)))::BIGINT AS taken
-FROM laid
+        + greatest(0, least(size, quota - start - 2 * source_size)))::BIGINT AS taken,
+       slot AS first_slot
+FROM laid LEFT JOIN slots
+  ON slots.no = laid.no AND block = start // 1024 AND size > 0 AND start < quota
 """,
 )
 def op5_mixing(spark, sf_dir):
