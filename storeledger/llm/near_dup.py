@@ -328,17 +328,20 @@ def kept_documents(
     per_text = found.groupBy("id", "mark").agg(
         F.count_if("kept").alias("stays"), F.count("*").alias("rows")
     )
-    gone = per_text.filter("stays = 0").select(F.col("id").alias("_id"), F.col("mark").alias("_of"))
-    again = per_text.filter("stays > 0 AND rows > 1")
-    again = staged(again.select(F.col("id").alias("_id"), F.col("mark").alias("_of")), "repeated")
-    marked = docs.withColumn("_mark", F.xxhash64(text_col))
-    same = (F.col(id_col).cast("long") == F.col("_id")) & (F.col("_mark") == F.col("_of"))
+    gone = per_text.filter("stays = 0").select("id", "mark")
+    again = staged(per_text.filter("stays > 0 AND rows > 1").select("id", "mark"), "repeated")
+    # The row travels as one value: its columns may have any names.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
+        F.col(id_col).cast("long").alias("id"),
+        F.xxhash64(text_col).alias("mark"),
+    )
     # The dropped rows grow with the documents: shuffled at every size, never broadcast.
-    kept = marked.join(gone.hint("merge"), same, "left_anti")
+    kept = rows.join(gone.hint("merge"), ["id", "mark"], "left_anti")
     if not again.isEmpty():
-        one_each = kept.join(again, same, "left_semi").dropDuplicates([id_col, "_mark"])
-        kept = kept.join(again, same, "left_anti").unionByName(one_each)
-    return kept.drop("_mark")
+        one_each = kept.join(again, ["id", "mark"], "left_semi").dropDuplicates(["id", "mark"])
+        kept = kept.join(again, ["id", "mark"], "left_anti").unionByName(one_each)
+    return kept.select("whole.*")
 
 
 def _judged(

@@ -386,4 +386,4 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length(text_col).cast(kind))
-    return out.select(*docs.columns)
+    return out
