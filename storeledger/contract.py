@@ -183,6 +183,29 @@ CUSTOMER_ORDERS_SCHEMA = T.StructType(
     + _PARTITION_FIELDS
 )
 
+# What each committed run took: its uploads, and the files they were read from.
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("source_key", T.StringType()),
+        *_PARTITION_FIELDS,
+        T.StructField("modified_at", T.TimestampType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("good_rows", T.LongType()),
+        T.StructField("bad_rows", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("version", T.StringType()),
+    ]
+)
+TAKEN_FILES_SCHEMA = T.StructType(
+    [
+        T.StructField("file_path", T.StringType()),
+        T.StructField("source_key", T.StringType()),
+        T.StructField("modified_at", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("version", T.StringType()),
+    ]
+)
+
 # Outcomes and alerts of each run, in a folder per run.
 OUTCOMES_SCHEMA = T.StructType(
     [

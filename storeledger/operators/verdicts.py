@@ -14,6 +14,7 @@ from storeledger.operators.validate import is_good
 from storeledger.sources.names import file_date_of, name_error, store_of
 
 CHANGED = "File changed while it was read"
+MISSING = "File was removed before it was read"
 UNDECODABLE = "File is not valid UTF-8"
 # Fixed value: the message for a file without any header line.
 NO_COLUMNS = "No columns to parse from file"
@@ -80,8 +81,8 @@ def refuse_changed(judged: DataFrame, changed: DataFrame) -> DataFrame:
     )
 
 
-def unseen(expected: DataFrame, judged: DataFrame) -> DataFrame:
-    """Outcomes of expected uploads that no file stands for: nothing to parse."""
+def unseen(expected: DataFrame, judged: DataFrame, error: str = NO_COLUMNS) -> DataFrame:
+    """Outcomes of expected uploads that no file stands for; by default, nothing to parse."""
     key = F.col("source_key")
     return (
         expected.select("source_key").distinct().join(judged, "source_key", "left_anti").select(
@@ -90,7 +91,7 @@ def unseen(expected: DataFrame, judged: DataFrame) -> DataFrame:
             file_date_of(key).alias("date"),
             F.lit(None).cast("timestamp").alias("modified_at"),
             F.lit("error").alias("status"),
-            F.lit(NO_COLUMNS).alias("error"),
+            F.lit(error).alias("error"),
         )
     )
 

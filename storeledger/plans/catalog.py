@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -13,12 +12,13 @@ from pyspark.sql import functions as F
 from storeledger.contract import DEFAULT_ERROR_THRESHOLD, INPUT_COLUMNS
 from storeledger.operators import alerts, health, metrics, summary, validate, verdicts
 from storeledger.plans import reports, sinks, storage
-from storeledger.plans.ingest import Ingested, ingest
+from storeledger.plans.ingest import Ingested, examine, ingest, ingest_changes
 from storeledger.plans.report_batch import run_reports
 from storeledger.plans.staging import stage
 from storeledger.session import new_work_path
 from storeledger.sources import landing, manifest, names, tables
 from storeledger.sources.workload import (
+    CORRECTED_BELOW,
     OUTCOMES_SQL,
     VALIDATED_SQL,
     sales_raw,
@@ -81,11 +81,25 @@ def _kept(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
     return _KEPT[key]
 
 
+def _catalogued(
+    spark: SparkSession, sf_dir: str, kind: tables.Kind, write: Callable[[str], None]
+) -> DataFrame:
+    """A derived table as the catalogue knows it, written and registered once."""
+
+    def write_and_register(path: str) -> None:
+        write(path)
+        name = tables.table_name(spark, path, kind)
+        tables.create_table(spark, name, path, kind)
+        tables.refresh_partitions(spark, name)
+
+    path = _kept(spark, sf_dir, kind.path.replace("/", "-"), write_and_register)
+    return spark.table(tables.table_name(spark, path, kind))
+
+
 def good_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The good_data table as the sink writes it, partitioned by store and date."""
     rows = names.with_partition(validate.stored_good_rows(validated(spark, sf_dir)))
-    path = _kept(spark, sf_dir, "good-data", lambda p: sinks.write_good_data(rows, p))
-    return tables.read_good_data(spark, path)
+    return _catalogued(spark, sf_dir, tables.GOOD_DATA, lambda p: sinks.write_good_data(rows, p))
 
 
 _ROW = ", ".join(INPUT_COLUMNS)
@@ -429,11 +443,11 @@ def report_rolling_7d(spark, sf_dir):
     # Wall time cannot be compared, so the duration is a function of the counters.
     duration = F.col("total_rows") * 0.25 + F.col("bad_rows")
     records = summary.file_summary(validated(spark, sf_dir), F.lit("-"), duration)
-    path = _kept(
-        spark, sf_dir, "metadata",
-        lambda p: sinks.write_metadata(names.with_partition(records), p),
+    stored = names.with_partition(records)
+    found = _catalogued(
+        spark, sf_dir, tables.METADATA, lambda p: sinks.write_metadata(stored, p)
     )
-    return reports.rolling_7d_metadata_summary(tables.read_metadata_records(spark, path), AS_OF)
+    return reports.rolling_7d_metadata_summary(found, AS_OF)
 
 
 # --- Landing zone: files written from the order tables, then read back as uploads ------------
@@ -636,6 +650,54 @@ def stream_replayed(spark, sf_dir):
     return tables.read_good_data(spark, f"{output}/processed/good_data")
 
 
+# What stands after the uploads of the first stores were sent again with odd orders only.
+_CORRECTED = _landing_sql(
+    f"""SELECT {_ROW}, store, "date" FROM landed JOIN accepted USING (source_key)
+WHERE validation_errors = '' AND NOT (store < '{CORRECTED_BELOW}' AND CAST(order_id AS BIGINT) % 2 = 0)"""
+)
+
+
+@register("late_run_replaces_nothing", _CORRECTED)
+def late_run_replaces_nothing(spark, sf_dir):
+    """Corrections are taken first, the older uploads of the same names in a later run."""
+    older = _landing_zone(spark, sf_dir)
+    newer = _kept(
+        spark, sf_dir, "corrections", lambda p: write_landing_zone(spark, sf_dir, p, corrected=True)
+    )
+    output = new_work_path(spark, "ledger-tables")
+    for zone in (newer, older):
+        ingest(spark, zone, output)
+    return tables.read_good_data(spark, f"{output}/processed/good_data")
+
+
+@register("reuploads", _CORRECTED)
+def reuploads(spark, sf_dir):
+    """Uploads that are sent again under their paths are news, and no others are read."""
+    zone, output = new_work_path(spark, "changing-landing"), new_work_path(spark, "changed-tables")
+    write_landing_zone(spark, sf_dir, zone)
+    ingest_changes(spark, zone, output)
+    write_landing_zone(spark, sf_dir, zone, corrected=True)
+    ingest_changes(spark, zone, output)
+    return tables.read_good_data(spark, f"{output}/processed/good_data")
+
+
+@register(
+    "missing_uploads",
+    _landing_sql(
+        f"""SELECT upload, CASE WHEN error IS NULL THEN 'success' ELSE 'error' END AS status, error FROM outcomes
+UNION ALL SELECT 'gone_' || upload, 'error', '{verdicts.MISSING}' FROM outcomes"""
+    ),
+)
+def missing_uploads(spark, sf_dir):
+    """Named uploads, each with one beside it that is gone: the others are judged."""
+    zone = _landing_zone(spark, sf_dir)
+    found, _ = _ingested(spark, sf_dir)
+    uploads = [row.upload for row in found.outcomes.select(_upload()).toLocalIterator()]
+    named = [f"{zone}/{name}{u}" for u in uploads for name in ("upload=", "upload=gone_")]
+    judged = examine(spark, named, source_bucket="landing")
+    return judged.outcomes.select(_upload(), "status", "error")
+
+
 @register(
     "partition_discovery",
     _landing_sql(
@@ -644,12 +706,16 @@ WHERE validation_errors = '' GROUP BY ALL"""
     ),
 )
 def partition_discovery(spark, sf_dir):
-    """A catalogue table over the folder, whose partitions a repair makes visible."""
+    """The partitions that the catalogue knows by the ledger, no folder looked for."""
     _, output = _ingested(spark, sf_dir)
-    name = f"good_data_{uuid.uuid4().hex}"
-    tables.create_good_data_table(spark, name, f"{output}/processed/good_data")
-    tables.refresh_partitions(spark, name)
-    return spark.table(name).groupBy("store", "date").agg(F.count(F.lit(1)).alias("rows"))
+    name = tables.synced(spark, output, tables.GOOD_DATA)
+    part = F.col("partition")
+    known = spark.sql(f"SHOW PARTITIONS {name}").select(
+        F.regexp_extract(part, "store=([^/]*)", 1).alias("store"),
+        F.regexp_extract(part, "date=([^/]*)", 1).alias("date"),
+    )
+    rows = spark.table(name).groupBy("store", "date").agg(F.count(F.lit(1)).alias("rows"))
+    return known.join(rows, ["store", "date"], "left")
 
 
 @register(

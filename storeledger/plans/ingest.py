@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import time
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
@@ -20,10 +23,15 @@ from storeledger.contract import (
     OUTCOMES_PATH,
 )
 from storeledger.operators import alerts, summary, validate, verdicts
-from storeledger.plans import sinks
+from storeledger.plans import sinks, storage
 from storeledger.plans.staging import stage
+from storeledger.session import new_work_path
+from storeledger.sources import ledger
 from storeledger.sources.landing import Landing, changed_uploads, file_verdicts, raw_rows
-from storeledger.sources.names import with_partition
+from storeledger.sources.names import decoded, object_key, source_key, with_partition
+
+# File-system calls side by side that look whether named uploads exist.
+EXISTENCE_CHECKS = 16
 
 
 @dataclass
@@ -36,6 +44,7 @@ class Ingested:
     customers: DataFrame
     high_error_alerts: DataFrame
     failure_alerts: DataFrame
+    files: DataFrame
 
     def results(self) -> DataFrame:
         """Per upload: status, and either its summary or its error."""
@@ -56,21 +65,29 @@ def examine(
 ) -> Ingested:
     """Read and judge every upload; write nothing but staged tables.
 
-    Spark's file sources don't show empty files. Uploads that `expected` (column
-    source_key) names and the landing zone doesn't show have the outcome of one.
+    `paths` is a landing folder, or a list of uploads; those of the list that are gone
+    have an error outcome and don't stop the others. Spark's file sources don't show empty
+    files. Uploads that `expected` (column source_key) names and the landing zone doesn't
+    show have the outcome of one.
     """
     started = time.monotonic()
     now = dt.datetime.now(dt.timezone.utc)
-    landing = Landing(paths, arrived_by or now)
     if source_bucket is None:
         source_bucket = urlparse(paths if isinstance(paths, str) else paths[0]).netloc
+    missing = None
+    if not isinstance(paths, str):
+        paths, missing = _there(spark, paths)
+    landing = Landing(paths, arrived_by or now)
 
+    listed = stage(landing.present(spark), "listed")
     files = file_verdicts(spark, landing)
     validated = stage(
         validate.validate(raw_rows(spark, landing, files), carry_max=("overlong",)), "validated"
     )
     judged = verdicts.outcomes(files, verdicts.row_findings(validated))
-    judged = verdicts.refuse_changed(judged, changed_uploads(spark, landing, files))
+    judged = verdicts.refuse_changed(judged, changed_uploads(spark, landing, listed))
+    if missing is not None:
+        judged = judged.unionByName(verdicts.unseen(missing, judged, verdicts.MISSING))
     if expected is not None:
         judged = judged.unionByName(verdicts.unseen(expected, judged))
     outcomes = stage(judged, "outcomes")
@@ -87,9 +104,27 @@ def examine(
         customers=stage(summary.customer_orders(kept), "customers"),
         high_error_alerts=alerts.high_error_alerts(summaries, source_bucket, stamp, threshold),
         failure_alerts=alerts.failure_alerts(outcomes, source_bucket, stamp),
+        files=listed.select("*", landing.of_upload()),
     )
 
 
+def _there(spark: SparkSession, paths: list[str]) -> tuple[list[str], DataFrame]:
+    """The named uploads that exist, and the others as (source_key).
+
+    Only names pass the driver, as many as the caller gave. With none left, the scans
+    read an empty folder.
+    """
+    with ThreadPoolExecutor(EXISTENCE_CHECKS) as pool:
+        found = list(pool.map(lambda p: storage.exists(spark, p), paths))
+    gone = [storage.qualified(spark, p) for p, there in zip(paths, found) if not there]
+    there = [p for p, is_there in zip(paths, found) if is_there]
+    if not there:
+        there = [new_work_path(spark, "no-uploads")]
+        storage.make_folder(spark, there[0])
+    named = spark.createDataFrame([(p,) for p in gone], "path string")
+    return there, named.select(object_key(source_key(F.col("path"))).alias("source_key"))
+
+
 def ingest(
     spark: SparkSession,
     paths: str | list[str],
@@ -97,41 +132,84 @@ def ingest(
     run_id: str | None = None,
     **settings,
 ) -> Ingested:
-    """Judge every upload and replace the partitions of the accepted ones.
+    """Judge every upload and let the accepted ones stand for their store and date.
 
-    Outcomes and alerts are written under `run_id` (default: the time), so that a
-    run repeated under its id leaves one set of them.
-
-    Where several uploads share a store and date, the latest stands. Metadata is
-    written last, so a partition with fresh metadata is complete; a run that
-    failed half-way is repaired by running it again.
+    The run's tables lie in folders of their own; nobody sees them until the ledger's
+    commit, the last thing that is written. A run that fails before leaves every table
+    as it was, and is repaired by running it again. Where several uploads share a store
+    and date, the latest stands, also across runs. Outcomes and alerts are written under
+    `run_id` (default: the time), so that a run repeated under its id leaves one set.
     """
+    run_id = run_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%fZ}"
+    version = f"{run_id}-{uuid.uuid4().hex[:8]}"  # A repeated run is another version.
+    output = output.rstrip("/")
     found = examine(spark, paths, **settings)
     accepted = found.outcomes.filter("status = 'success'")
-    latest = stage(verdicts.latest_uploads(accepted), "latest")
+    latest = stage(_standing(spark, accepted, output), "latest")
     superseded = accepted.join(latest, "source_key", "left_anti")
     current = without(found.validated, stage(superseded, "superseded"))
 
-    output = output.rstrip("/")
-    good_root, bad_root = f"{output}/{GOOD_DATA_PATH}", f"{output}/{BAD_DATA_PATH}"
-    sinks.write_good_data(with_partition(validate.stored_good_rows(current)), good_root)
-    sinks.write_bad_data(with_partition(validate.bad_rows(current)), bad_root)
-
+    good = with_partition(validate.stored_good_rows(current))
+    sinks.write_good_data(good, f"{output}/{GOOD_DATA_PATH}", version)
+    bad = with_partition(validate.bad_rows(current))
+    sinks.write_bad_data(bad, f"{output}/{BAD_DATA_PATH}", version)
+    customers = latest.join(found.customers, "source_key")
+    sinks.write_customer_orders(customers, f"{output}/{CUSTOMER_ORDERS_PATH}", version)
     records = latest.join(found.summaries, "source_key")
-    customers_root = f"{output}/{CUSTOMER_ORDERS_PATH}"
-    sinks.write_customer_orders(latest.join(found.customers, "source_key"), customers_root)
-    without_good = records.filter("good_rows = 0").select("store", "date")
-    sinks.clear_partitions(without_good, good_root)
-    sinks.clear_partitions(without_good, customers_root)
-    sinks.clear_partitions(records.filter("bad_rows = 0").select("store", "date"), bad_root)
-    sinks.write_metadata(records, f"{output}/{METADATA_PATH}")
-    run_id = run_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%fZ}"
+    sinks.write_metadata(records, f"{output}/{METADATA_PATH}", version)
     sinks.write_outcomes(found.outcomes, run_id, f"{output}/{OUTCOMES_PATH}")
     raised = [found.high_error_alerts, found.failure_alerts]
     sinks.write_alerts(raised, run_id, f"{output}/{ALERTS_PATH}")
+    ledger.commit(found.outcomes, found.summaries, found.files, version, output)
     return found
 
 
+def _standing(spark: SparkSession, accepted: DataFrame, output: str) -> DataFrame:
+    """The accepted uploads that stand now: the latest, and not older than what stood."""
+    taken = ledger.standing(ledger.uploads(spark, output)).select(
+        "store", "date", F.struct("modified_at", "source_key").alias("stood")
+    )
+    latest = verdicts.latest_uploads(accepted).join(
+        accepted.select("source_key", "modified_at"), "source_key"
+    )
+    mine = F.struct("modified_at", "source_key")
+    return (
+        latest.join(taken, ["store", "date"], "left")
+        .filter(F.col("stood").isNull() | (mine >= F.col("stood")))
+        .select("store", "date", "source_key")
+    )
+
+
+def ingest_changes(
+    spark: SparkSession,
+    landing: str,
+    output: str,
+    max_uploads: int = 10_000,
+    run_id: str | None = None,
+    **settings,
+) -> list[Ingested]:
+    """Ingest what is new in a landing folder: uploads with a file no run took as it is now.
+
+    A file is known by path, time and length, so one that is rewritten under its path is
+    news, and its upload is read again. The ledger remembers; nothing else need be kept.
+    Uploads are taken in runs of at most `max_uploads`, whose names pass the driver.
+    """
+    settings.setdefault("arrived_by", dt.datetime.now(dt.timezone.utc))
+    zone = Landing(landing, settings["arrived_by"])
+    files = zone.present(spark)
+    known = ledger.taken_files(spark, output).select("file_path", "modified_at", "length")
+    news = files.join(known.distinct(), ["file_path", "modified_at", "length"], "left_anti")
+    path = source_key(decoded(F.col("file_path"))).alias("path")
+    names = stage(news.select(path).distinct().orderBy("path"), "news").toLocalIterator()
+    run_id = run_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%fZ}"
+    runs = []
+    for number in itertools.count():
+        chosen = [row.path for row in itertools.islice(names, max_uploads)]
+        if not chosen:
+            return runs
+        runs.append(ingest(spark, chosen, output, f"{run_id}-{number:06d}", **settings))
+
+
 def without(rows: DataFrame, uploads: DataFrame) -> DataFrame:
     """Rows of all other uploads; the size of `uploads` decides how they are joined."""
     return rows.join(uploads.select("source_key"), "source_key", "left_anti")

@@ -2,38 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from storeledger.contract import (
     ALERTS_SCHEMA,
+    BAD_DATA_PATH,
+    CUSTOMER_ORDERS_PATH,
+    GOOD_DATA_PATH,
     INPUT_COLUMNS,
+    METADATA_PATH,
     OUTCOMES_SCHEMA,
     PARTITION_COLUMNS,
     STORED_SUMMARY_FIELDS,
 )
 from storeledger.plans import storage
+from storeledger.sources import ledger
 
 
-def _partitioned(rows: DataFrame, columns: list[str]):
-    """Rows of a partition together, large partitions split, only those replaced."""
+def _partitioned(rows: DataFrame, columns: list[str], version: str | None):
+    """Rows of a partition together, large partitions split, only those replaced.
+
+    With a version, each partition's files lie in a folder of it, beside those of other
+    versions, and nothing is replaced.
+    """
+    keys = list(PARTITION_COLUMNS)
+    rows = rows.select(*columns, *keys).hint("rebalance", *keys)
+    if version is not None:
+        keys.append("version")
+        rows = rows.withColumn("version", F.lit(version))
     return (
-        rows.select(*columns, *PARTITION_COLUMNS)
-        .hint("rebalance", *PARTITION_COLUMNS)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS)
+        .partitionBy(*keys)
     )
 
 
-def write_good_data(rows: DataFrame, root: str) -> None:
-    _partitioned(rows, list(INPUT_COLUMNS)).option("compression", "snappy").parquet(root)
+def write_good_data(rows: DataFrame, root: str, version: str | None = None) -> None:
+    _partitioned(rows, list(INPUT_COLUMNS), version).option("compression", "snappy").parquet(root)
 
 
-def write_bad_data(rows: DataFrame, root: str) -> None:
+def write_bad_data(rows: DataFrame, root: str, version: str | None = None) -> None:
     (
-        _partitioned(rows, [*INPUT_COLUMNS, "validation_errors"])
+        _partitioned(rows, [*INPUT_COLUMNS, "validation_errors"], version)
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")
@@ -43,28 +55,31 @@ def write_bad_data(rows: DataFrame, root: str) -> None:
     )
 
 
-def write_metadata(summaries: DataFrame, root: str) -> None:
-    _partitioned(summaries, [f.name for f in STORED_SUMMARY_FIELDS]).json(root)
+def write_metadata(summaries: DataFrame, root: str, version: str | None = None) -> None:
+    _partitioned(summaries, [f.name for f in STORED_SUMMARY_FIELDS], version).json(root)
 
 
-def write_customer_orders(rows: DataFrame, root: str) -> None:
-    _partitioned(rows, ["source_key", "customer_id", "order_count"]).parquet(root)
+def write_customer_orders(rows: DataFrame, root: str, version: str | None = None) -> None:
+    _partitioned(rows, ["source_key", "customer_id", "order_count"], version).parquet(root)
 
 
-def clear_partitions(empty: DataFrame, root: str) -> int:
-    """Remove folders of the given store and date pairs, which have no rows any more.
+def sweep(spark: SparkSession, output: str) -> int:
+    """Remove folders of the output tables that no longer stand; how many there were.
 
-    Overwriting by partition leaves a partition alone when it gets no rows, so the
-    rows of an earlier upload would stay. Only the folders named are looked at, one
-    pair after the other, however many partitions the table has.
+    For folders whose later version is committed. Readers that have begun before that
+    may still use them, so sweep when none of those is left.
     """
-    spark = empty.sparkSession
+    output = output.rstrip("/")
+    stood = ledger.uploads(spark, output).filter("status = 'success'")
+    now = ledger.standing(stood).select(*PARTITION_COLUMNS, F.col("version").alias("stands"))
+    old = stood.join(now, list(PARTITION_COLUMNS)).filter("version <> stands")
     removed = 0
-    for row in empty.select(*PARTITION_COLUMNS).distinct().toLocalIterator():
-        folder = "/".join([root, *(f"{c}={row[c]}" for c in PARTITION_COLUMNS)])
-        if storage.exists(spark, folder):
-            storage.remove(spark, folder)
-            removed += 1
+    for row in old.select(*PARTITION_COLUMNS, "version").distinct().toLocalIterator():
+        below = "/".join(f"{c}={row[c]}" for c in (*PARTITION_COLUMNS, "version"))
+        for path in (GOOD_DATA_PATH, BAD_DATA_PATH, METADATA_PATH, CUSTOMER_ORDERS_PATH):
+            if storage.exists(spark, f"{output}/{path}/{below}"):
+                storage.remove(spark, f"{output}/{path}/{below}")
+                removed += 1
     return removed
 
 

@@ -1,4 +1,4 @@
-"""File-system calls on table folders (existence, removal of a partition)."""
+"""File-system calls on table folders."""
 
 from __future__ import annotations
 
@@ -19,3 +19,20 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     files, location = _located(spark, path)
     files.delete(location, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, location = _located(spark, path)
+    files.mkdirs(location)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark names files."""
+    files, location = _located(spark, path)
+    return files.makeQualified(location).toString()
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a pattern, sorted; none if its folder is not there."""
+    files, location = _located(spark, pattern)
+    return sorted(found.getPath().toString() for found in files.globStatus(location) or [])

@@ -40,7 +40,9 @@ class Landing:
 
     def _options(self, reader):
         names = "{*.csv,part-*}"
-        return reader.option("recursiveFileLookup", True).option("pathGlobFilter", names)
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", names)
+        # A file that is removed while it is read has no rows; its upload is refused then.
+        return reader.option("ignoreMissingFiles", True)
 
     def _known(self, rows: DataFrame) -> DataFrame:
         """CSVs, and parts of whatever name in a folder that is one upload."""
@@ -54,12 +56,18 @@ class Landing:
         return self._known(self._options(spark.read).text(self.paths))
 
     def present(self, spark: SparkSession) -> DataFrame:
-        """(file_path, modified_now) of the files there are now; none is opened."""
-        return self._options(spark.read.format("binaryFile")).load(self.paths).select(
+        """(file_path, modified_at, length) of the files there are now; none is opened."""
+        files = self._known(self._options(spark.read.format("binaryFile")).load(self.paths))
+        return files.select(
             F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_modification_time").alias("modified_now"),
+            F.col("_metadata.file_modification_time").alias("modified_at"),
+            "length",
         )
 
+    def of_upload(self) -> Column:
+        """The upload that a listed file belongs to."""
+        return object_key(source_key(decoded(F.col("file_path")))).alias("source_key")
+
     def rows(self, spark: SparkSession, multi_line: bool) -> DataFrame:
         """Fields by position; `_corrupt` holds the text of rows of another width."""
         reader = (
@@ -215,15 +223,21 @@ def file_verdicts(spark: SparkSession, landing: Landing) -> DataFrame:
     return stage(verdicts, "file-verdicts")
 
 
-def changed_uploads(spark: SparkSession, landing: Landing, files: DataFrame) -> DataFrame:
-    """source_key of uploads with a file that was rewritten or removed since the first scan.
+def changed_uploads(spark: SparkSession, landing: Landing, listed: DataFrame) -> DataFrame:
+    """source_key of uploads whose files are not those that `listed` says.
 
-    Called when the rows are staged: files that are still as the first scan saw them were
-    so for the second scan too.
+    `listed` was taken before the first scan; this is called when the rows are staged. A
+    file that has the same time and length at both ends was so for both scans. A file
+    that came or went between makes its upload another one, too. Lengths tell a rewrite
+    inside one tick of the store's clock, unless it has the same length.
     """
-    now = files.join(landing.present(spark), "file_path", "left")
-    same = F.coalesce(F.col("modified_now") == F.col("modified_at"), F.lit(False))
-    return now.filter(~same).select("source_key").distinct()
+    columns = ["file_path", "modified_at", "length"]
+    before = listed.select(*columns, F.lit(1).alias("before"), F.lit(0).alias("after"))
+    now = landing.present(spark).select(*columns, F.lit(0).alias("before"), F.lit(1).alias("after"))
+    both = before.unionByName(now).groupBy(*columns).agg(
+        F.sum("before").alias("before"), F.sum("after").alias("after")
+    )
+    return both.filter(F.col("before") != F.col("after")).select(landing.of_upload()).distinct()
 
 
 # --- Second scan: rows -------------------------------------------------------------------
