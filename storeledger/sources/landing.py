@@ -26,6 +26,8 @@ from storeledger.sources.names import decoded, object_key, source_key
 USUAL_HEADER = ",".join(INPUT_COLUMNS)
 WIDTH = len(INPUT_COLUMNS)
 POSITIONS = [f"p{i}" for i in range(WIDTH)]
+_ROW_SCHEMA = ", ".join(f"{p} STRING" for p in [*POSITIONS, "_corrupt"])
+_CSV_OPTIONS = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_corrupt"}
 
 
 @dataclass
@@ -52,8 +54,9 @@ class Landing:
             & (path.endswith(".csv") | path.contains(".csv/part-"))
         )
 
-    def lines(self, spark: SparkSession) -> DataFrame:
-        return self._known(self._options(spark.read).text(self.paths))
+    def lines(self, spark: SparkSession, end: str | None = None) -> DataFrame:
+        reader = self._options(spark.read)
+        return self._known((reader.option("lineSep", end) if end else reader).text(self.paths))
 
     def present(self, spark: SparkSession) -> DataFrame:
         """(file_path, modified_at, length) of the files there are now; none is opened."""
@@ -68,24 +71,13 @@ class Landing:
         """The upload that a listed file belongs to."""
         return object_key(source_key(decoded(F.col("file_path")))).alias("source_key")
 
-    def rows(self, spark: SparkSession, multi_line: bool) -> DataFrame:
+    def rows(self, spark: SparkSession) -> DataFrame:
         """Fields by position; `_corrupt` holds the text of rows of another width."""
-        reader = (
-            self._options(spark.read)
-            .schema(", ".join(f"{p} STRING" for p in [*POSITIONS, "_corrupt"]))
-            .option("header", True)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", multi_line)
-            .option("columnNameOfCorruptRecord", "_corrupt")
-            .option("columnPruning", False)
-        )
-        rows = self._known(reader.csv(self.paths)).select(
-            *POSITIONS, "_corrupt", F.col("_metadata.file_path").alias("file_path")
-        )
-        if multi_line:
-            rows = rows.filter(F.col("_corrupt").isNull() | (F.trim(F.col("_corrupt")) != ""))
-        return rows
+        reader = self._options(spark.read).schema(_ROW_SCHEMA).option("header", True)
+        for option, value in _CSV_OPTIONS.items():
+            reader = reader.option(option, value)
+        rows = self._known(reader.option("columnPruning", False).csv(self.paths))
+        return rows.select(*POSITIONS, "_corrupt", F.col("_metadata.file_path").alias("file_path"))
 
 
 # --- First scan: one row per physical file --------------------------------------------
@@ -262,10 +254,117 @@ def raw_rows(spark: SparkSession, landing: Landing, verdicts: DataFrame) -> Data
         "file_path", "open_quotes", "positions", "width", refused.alias("refused")
     )
     spanning = special.filter("open_quotes")
-    by_line = _mapped(landing.rows(spark, multi_line=False), special, spanning=False)
-    # Files whose quoted fields span lines cannot be split by line: read those whole.
-    whole = stage_files(landing.rows(spark, multi_line=True), spanning, "spanning", lambda r: r)
-    return by_line.unionByName(_mapped(whole, special, spanning=True))
+    by_line = _mapped(landing.rows(spark), special, spanning=False)
+    spanned = _mapped(spanning_rows(spark, landing, spanning), special, spanning=True)
+    return by_line.unionByName(spanned)
+
+
+# --- Rows whose quoted fields span lines ----------------------------------------------------
+
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+
+
+def _ends_open(line: Column) -> Column:
+    """Whether a line that begins outside quotes ends inside: a field is opened and not closed."""
+    plain = F.regexp_replace(F.concat(F.lit(","), line), rf",{_QUOTED}[^,]*+", ",")
+    return plain.contains(',"')
+
+
+def _stays_open(line: Column) -> Column:
+    """Whether a line that begins inside quotes ends inside, too."""
+    closed = r'^[^"]*+(?:""[^"]*+)*+"[^,]*+'
+    rest = F.regexp_replace(line, closed, "")
+    reopened = F.regexp_replace(rest, rf",{_QUOTED}[^,]*+", ",").contains(',"')
+    return F.when(line.rlike(closed), reopened).otherwise(F.lit(True))
+
+
+def spanning_rows(spark: SparkSession, landing: Landing, files: DataFrame) -> DataFrame:
+    """Rows of files whose quoted fields may span lines, each file parsed by many tasks.
+
+    Such a file can't be cut at any line end. But a line only keeps, sets, clears or turns
+    round whether a quote is open; so what each block of lines does is known without what
+    stood before it, and running over the blocks of a file tells the state at each line.
+    Lines between two states without an open quote are put together to a row.
+    """
+    value = F.col("value")
+    quoted = value.contains('"')
+
+    def marked(lines: DataFrame) -> DataFrame:
+        return lines.select(
+            "file_path",
+            "block",
+            F.monotonically_increasing_id().alias("line"),
+            "value",
+            F.when(quoted, _ends_open(value)).otherwise(F.lit(False)).alias("from_closed"),
+            F.when(quoted, _stays_open(value)).otherwise(F.lit(True)).alias("from_open"),
+        )
+
+    # A line separator of its own keeps the other sign of a two-sign line end.
+    lines = landing.lines(spark, end="\n").select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
+    )
+    lines = stage_files(lines, files, "spanning-lines", marked)
+    fixed = F.col("from_closed") == F.col("from_open")
+    turned = F.when(F.col("from_closed") & ~F.col("from_open"), 1).otherwise(0)
+    lines = lines.withColumn("turned", turned).withColumn(
+        "fixed", F.when(fixed, F.col("from_closed").cast("int"))
+    )
+    in_block = Window.partitionBy("file_path", "block").orderBy("line")
+    to_here = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turns = F.sum("turned").over(to_here)
+    lines = lines.withColumn("turns", turns)
+    # The state behind a line, but for turns since a line that fixes it.
+    base = F.last((F.col("fixed") + F.col("turns")) % 2, ignorenulls=True).over(to_here)
+    lines = lines.withColumn("base", base)
+
+    last = F.max_by(F.struct("base", "turns"), "line")
+    blocks = lines.groupBy("file_path", "block").agg(last.alias("last"))
+    earlier = (
+        Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    blocks = blocks.select("file_path", "block", "last.base", "last.turns")
+    blocks = blocks.withColumn(
+        "before", F.coalesce(F.sum("turns").over(earlier), F.lit(0))
+    ).withColumn("set", (F.col("base") + F.col("before")) % 2)
+    entering = F.coalesce(F.last("set", ignorenulls=True).over(earlier), F.lit(0))
+    blocks = blocks.select(
+        "file_path", "block", ((entering + F.col("before")) % 2).alias("entering")
+    )
+    lines = lines.join(blocks, ["file_path", "block"])
+    behind = (F.coalesce("base", "entering") + F.col("turns")) % 2 == 1
+    lines = lines.withColumn("open_behind", behind)
+    open_before = F.lag("open_behind").over(in_block)
+    lines = lines.withColumn(
+        "open_before", F.coalesce(open_before, F.col("entering") == 1)
+    ).select("file_path", "block", "line", "value", "open_before", "open_behind")
+    lines = stage(lines, "quoted-lines")
+
+    # Lines of their own need no further look; the others are put to the row they begin.
+    single = lines.filter(~F.col("open_before") & ~F.col("open_behind"))
+    place = F.struct("block", "line")
+    begun = F.when(~F.col("open_before"), place)
+    parts = lines.filter(F.col("open_before") | F.col("open_behind"))
+    parts = parts.withColumn("start", F.last(begun, ignorenulls=True).over(to_here))
+    tails = parts.groupBy("file_path", "block").agg(F.max("start").alias("tail"))
+    tails = tails.withColumn("carried", F.last("tail", ignorenulls=True).over(earlier))
+    parts = parts.join(tails.select("file_path", "block", "carried"), ["file_path", "block"])
+    texts = F.transform(
+        F.sort_array(F.collect_list(F.struct("block", "line", "value"))), lambda p: p["value"]
+    )
+    joined = parts.groupBy("file_path", F.coalesce("start", "carried").alias("place")).agg(
+        F.array_join(texts, "\n").alias("value")
+    )
+    rows = single.select("file_path", place.alias("place"), "value").unionByName(joined)
+    rows = rows.withColumn("value", F.regexp_replace("value", r"\r\z", "")).filter(_has_text(value))
+    rows = stage(rows, "spanning-rows")
+    headers = rows.groupBy("file_path").agg(F.min("place").alias("header"))
+    rows = rows.join(headers, "file_path").filter(F.col("place") != F.col("header"))
+    fields = F.from_csv(value, _ROW_SCHEMA, {**_CSV_OPTIONS, "multiLine": "true"})
+    return rows.select("file_path", fields.alias("row")).select(
+        *[f"row.{p}" for p in POSITIONS], "row._corrupt", "file_path"
+    )
 
 
 def _mapped(rows: DataFrame, special: DataFrame, spanning: bool) -> DataFrame:
