@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections.abc import Iterator
@@ -160,33 +161,54 @@ def url_filter(
     )
 
 
-# A small labelled table of invented URLs. Word kinds that sites worth
-# blocking carry in their names, and plain sites of every shape.
+# A small labelled table of invented URLs. Common words of names that sites
+# worth blocking carry, and of plain sites. No name is taken from a table that is judged.
 BLOCKED_NAMES = (
-    "adult adult-x adultvideo xxx porn sexcams hot-singles escort casino casino-win "
-    "win-casino bigcasino poker free-bets betting sportbets bets jackpot slots lottery "
-    "cheap-pills pills-online pharma viagra cialis spam spam-farm linkfarm farm-spam "
-    "ads-track adserver trackads ads-click clicktrack popads warez crackz torrentz "
-    "malware phish-login free-money getrich payday-loans replica-watches"
+    "adultvideo sexyadults xxx xxxtube porn pornhd sexcams escort escortgirls hotsingles "
+    "casino grandcasino casinoroyal poker pokerstar betting sportbets betonline jackpot "
+    "megajackpot slots freeslots lottery winlottery "
+    "pharma cheappharma pills dietpills viagra buyviagra cialis replicawatches cheapwatches "
+    "spam spammail linkfarm linkfarms clickfarm freemoney moneyfree payday paydayloan "
+    "adserver adsnetwork trackads adtracker clicktrack trackerpixel popads popunder "
+    "warez cracks crackz torrentz keygen malware phishing phishlogin getrich richquick"
 ).split()
 PLAIN_NAMES = (
     "news library museum weather school university garden recipes travel music history "
     "science health sports city cinema forum shop docs journal radio theatre kitchen "
-    "thering ondean wharea tionly ereson anthin rethe eausti heiten cionar mentele "
-    "ungsch lichte adosca lloque ouvier ingand stathe tionst thandre bleston orthea"
+    "bakery mountain river harbour village painter teacher engineer physics chemistry "
+    "biology gardening cycling railway aviation poetry novels archive council parliament "
+    "hospital dentist carpenter plumber florist bookshop orchestra gallery festival"
 ).split()
-_SHAPES = (
-    "https://{}.example.{}/en/0", "http://www.{}.example.{}/de/0.html",
-    "https://m.{}.example.{}/fr/0/", "https://blog.{}.example.{}/es/0?page=2&ref=x",
-)
+_SHAPES = ("https://{}.{}/", "http://www.{}.{}/about.htm", "https://{}.{}/list/all", "http://my.{}.{}")
 _ENDS = ("com", "net", "org")
 
 
+# Parts of made-up names, which stand for the many plain sites whose names say nothing.
+_ONSETS = "b c d f g h l m n p r s t v w th sh ch st tr br pl".split()
+_VOWELS = "a e i o u ea ou ie".split()
+_ENDINGS = "n r s t l nd st ng m".split()
+MADE_UP_NAMES = 1_500
+
+
+def made_up_names(count: int = MADE_UP_NAMES) -> list[str]:
+    """Names of two or three syllables, drawn by a fixed seed."""
+    draw = random.Random(20)
+
+    def syllable() -> str:
+        return draw.choice(_ONSETS) + draw.choice(_VOWELS) + draw.choice(_ENDINGS)
+
+    return ["".join(syllable() for _ in range(draw.choice((2, 2, 3)))) for _ in range(count)]
+
+
 def labelled_urls() -> list[tuple[str, int]]:
     """(url, blocked) rows: every listed name in every shape, ends in turn."""
-    return [
+    listed = [
         (shape.format(name, _ENDS[(i + j) % len(_ENDS)]), label)
         for label, names in ((1, BLOCKED_NAMES), (0, PLAIN_NAMES))
         for i, name in enumerate(names)
         for j, shape in enumerate(_SHAPES)
     ]
+    return listed + [
+        (_SHAPES[i % len(_SHAPES)].format(name, _ENDS[i % len(_ENDS)]), 0)
+        for i, name in enumerate(made_up_names())
+    ]
