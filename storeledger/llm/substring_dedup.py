@@ -94,6 +94,8 @@ def substring_dedup(
     empty texts have no sentences and stay as they are. Other columns are ignored. An
     empty table gives an empty result.
     """
+    if not 1 <= run < SPAN:
+        raise ValueError(f"a run has 1 to {SPAN - 1} sentences")
     text, said = F.col("_text"), F.col("_said")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rows = rows.withColumn("_mark", F.xxhash64(text))

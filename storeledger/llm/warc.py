@@ -76,6 +76,8 @@ def records(
         .filter(F.col("copies") > 1)
         .drop("copies")
     )
+    # Written first, so that the join shuffles both sides and a hot payload can be split.
+    keepers = staged(keepers, "payload-keepers")
     told = keyed.join(keepers, key, "left")
     is_revisit = F.coalesce(~F.col("id").eqNullSafe(F.col("keeper")), F.lit(False)) & F.col(
         "keeper"
