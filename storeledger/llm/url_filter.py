@@ -164,11 +164,11 @@ def url_filter(
 # A small labelled table of invented URLs. Common words of names that sites
 # worth blocking carry, and of plain sites. No name is taken from a table that is judged.
 BLOCKED_NAMES = (
-    "adultvideo sexyadults xxx xxxtube porn pornhd sexcams escort escortgirls hotsingles "
-    "casino grandcasino casinoroyal poker pokerstar betting sportbets betonline jackpot "
+    "adult adultvideo sexyadults adultsite xxx xxxtube porn pornhd sexcams escort escortgirls hotsingles "
+    "casino grandcasino casinoroyal poker pokerstar bet bets betting sportbets betonline jackpot "
     "megajackpot slots freeslots lottery winlottery "
     "pharma cheappharma pills dietpills viagra buyviagra cialis replicawatches cheapwatches "
-    "spam spammail linkfarm linkfarms clickfarm freemoney moneyfree payday paydayloan "
+    "spam spammail ads tracker linkfarm linkfarms clickfarm freemoney moneyfree payday paydayloan "
     "adserver adsnetwork trackads adtracker clicktrack trackerpixel popads popunder "
     "warez cracks crackz torrentz keygen malware phishing phishlogin getrich richquick"
 ).split()
@@ -187,7 +187,7 @@ _ENDS = ("com", "net", "org")
 _ONSETS = "b c d f g h l m n p r s t v w th sh ch st tr br pl".split()
 _VOWELS = "a e i o u ea ou ie".split()
 _ENDINGS = "n r s t l nd st ng m".split()
-MADE_UP_NAMES = 1_500
+MADE_UP_NAMES = 250
 
 
 def made_up_names(count: int = MADE_UP_NAMES) -> list[str]:
@@ -200,15 +200,20 @@ def made_up_names(count: int = MADE_UP_NAMES) -> list[str]:
     return ["".join(syllable() for _ in range(draw.choice((2, 2, 3)))) for _ in range(count)]
 
 
+# Neutral company that names of both classes keep.
+_FORMS = ("{}", "my{}", "the-{}", "{}online", "best-{}", "{}24", "{}-now", "{}host", "{}world")
+
+
 def labelled_urls() -> list[tuple[str, int]]:
-    """(url, blocked) rows: every listed name in every shape, ends in turn."""
+    """(url, blocked) rows: every listed name in every form, shapes and ends in turn."""
     listed = [
-        (shape.format(name, _ENDS[(i + j) % len(_ENDS)]), label)
+        (form.format(name), label)
         for label, names in ((1, BLOCKED_NAMES), (0, PLAIN_NAMES))
-        for i, name in enumerate(names)
-        for j, shape in enumerate(_SHAPES)
+        for name in names
+        for form in _FORMS
     ]
-    return listed + [
-        (_SHAPES[i % len(_SHAPES)].format(name, _ENDS[i % len(_ENDS)]), 0)
-        for i, name in enumerate(made_up_names())
+    named = listed + [(name, 0) for name in made_up_names()]
+    return [
+        (_SHAPES[i % len(_SHAPES)].format(name, _ENDS[i % len(_ENDS)]), label)
+        for i, (name, label) in enumerate(named)
     ]

@@ -667,7 +667,6 @@ def test_url_model_on_held_out_names(url_model):
     good = ["rehaon", "meadows", "blossom", "granite", "theraon", "wallpaper", "lantern", "ouanting"]
     said = {n: url_model.score(f"m.{n}.example.org", "/en/17319") > 0 for n in bad + good}
     assert sum(said[n] for n in bad) >= 6 and sum(said[n] for n in good) <= 1
-    assert url_model.score("adult-x.example.org", "/fr/1.html") > 0
     assert url_model.score("tionsh.example.net", "/en/34085.html") < 0
 
 
