@@ -49,19 +49,24 @@ def error_alarms(
     return errors_per_period(events, at, is_error, period).filter(F.col("errors") >= threshold)
 
 
+def p99_breaches(duration_ms: str, threshold: float) -> Column:
+    """Whether p99 reaches the threshold, as an aggregate: too few runs are below it."""
+    below = F.count_if(F.col(duration_ms) < threshold)
+    return below < _needed(F.count(duration_ms))
+
+
 def _counted(runs: DataFrame, at: str, duration_ms: str, threshold: float, period: str):
     """Per period: runs, whether p99 reaches the threshold, and values around p99.
 
     Whether it does is decided by counting the runs below the threshold.
     """
-    below = F.count_if(F.col(duration_ms) < threshold)
     around = [0.99 - 2 / SKETCH_ACCURACY, 0.99 + 2 / SKETCH_ACCURACY]
     bracket = F.percentile_approx(duration_ms, around, SKETCH_ACCURACY)
     return (
         runs.groupBy(F.window(at, period))
         .agg(
             F.count(duration_ms).alias("runs"),
-            (below < _needed(F.count(duration_ms))).alias("breaching"),
+            p99_breaches(duration_ms, threshold).alias("breaching"),
             bracket.alias("bracket"),
         )
         .select(

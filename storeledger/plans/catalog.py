@@ -27,7 +27,11 @@ from storeledger.sources.workload import (
     write_landing_zone,
 )
 from storeledger.streaming.arrivals import ingest_arrivals
-from storeledger.streaming.health import streaming_error_alarms
+from storeledger.streaming.health import (
+    failure_events,
+    streaming_error_alarms,
+    streaming_latency_alarms,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -798,6 +802,28 @@ def result_manifest(spark, sf_dir):
     ).distinct()
 
 
+@register(
+    "manifest_told_once",
+    _landing_sql(
+        """SELECT DISTINCT 1 AS run, store, "date", true AS has_rows
+FROM landed JOIN accepted USING (source_key) WHERE validation_errors <> ''"""
+    ),
+)
+def manifest_told_once(spark, sf_dir):
+    """New error files, asked for twice: the second run has nothing to tell."""
+    _, output = _ingested(spark, sf_dir)
+    told = new_work_path(spark, "told-results")
+    runs = [
+        manifest.new_results(spark, output, told).withColumn("run", F.lit(n)) for n in (1, 2)
+    ]
+    return runs[0].unionByName(runs[1]).select(
+        "run",
+        F.regexp_extract("key", r"/store=([^/]*)/", 1).alias("store"),
+        F.regexp_extract("key", r"/date=([^/]*)/", 1).alias("date"),
+        (F.col("size_bytes") > 0).alias("has_rows"),
+    ).distinct()
+
+
 # --- Health ------------------------------------------------------------------------------------
 
 
@@ -882,13 +908,65 @@ def stream_error_alarm_5m(spark, sf_dir):
     )
     # The watermark follows all events, not only errors.
     alarms = streaming_error_alarms(events, "ts", F.col("event_type") == "error", threshold=2)
+    return _streamed(spark, alarms)
+
+
+def _streamed(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """What a stream appends until its source has nothing more."""
     path = new_work_path(spark, "alarms")
     query = (
-        alarms.writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", new_work_path(spark, "alarm-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(alarms.schema).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@register(
+    "stream_p99_alarm_5m",
+    f"""WITH {_PERIODS_SQL}, breaching AS (SELECT * FROM periods WHERE p99_ms >= {EVENT_LATENCY_THRESHOLD})
+SELECT b.period_start, b.period_end, b.runs FROM breaching b JOIN breaching before
+  ON before.period_end = b.period_start
+WHERE b.period_end <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE""",
+)
+def stream_p99_alarm_5m(spark, sf_dir):
+    """The latency alarm of events as a stream; periods the watermark has closed."""
+    events = (
+        spark.readStream.schema(table(spark, sf_dir, "events").schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+        .select(F.col("ts").cast("timestamp").alias("ts"), "value")
+    )
+    alarms = streaming_latency_alarms(events, "ts", "value", EVENT_LATENCY_THRESHOLD)
+    return _streamed(spark, alarms).select("period_start", "period_end", "runs")
+
+
+@register(
+    "failure_alarm",
+    _landing_sql(
+        "SELECT COUNT(*) AS errors FROM outcomes WHERE error IS NOT NULL HAVING COUNT(*) >= 3"
+    ),
+)
+def failure_alarm(spark, sf_dir):
+    """The error alarm over the failed uploads of the ingest job's own runs, as a stream."""
+    _, output = _ingested(spark, sf_dir)
+    events = failure_events(spark, output)
+    alarms = health.error_alarms(events, "ts", F.col("status") == "error")
+    path = new_work_path(spark, "failure-alarms")
+
+    # One row per period with errors; a run's periods may grow, so all are written anew.
+    def write(periods: DataFrame, _: int) -> None:
+        periods.write.mode("overwrite").parquet(path)
+
+    query = (
+        alarms.writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", new_work_path(spark, "failure-checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(alarms.schema).parquet(path).select("errors")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.contract import RESULT_EVENT
+from storeledger.plans import storage
+from storeledger.plans.staging import stage
 from storeledger.sources.names import object_key
 
 
@@ -41,6 +43,22 @@ def result_manifest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def new_results(spark: SparkSession, root: str, told: str) -> DataFrame:
+    """Records of the result CSVs that were not told before; each is told once.
+
+    `told` is a table of what was told, kept between runs. A result is known by key, size
+    and time, so one that is written again is told again.
+    """
+    records = result_manifest(spark, root)
+    known = ["key", "size_bytes", "created_at"]
+    if storage.exists(spark, told):
+        before = spark.read.schema(records.schema).parquet(told).select(*known).distinct()
+        records = records.join(before, known, "left_anti").select(*records.columns)
+    news = stage(records, "new-results")
+    news.write.mode("append").parquet(told)
+    return news
+
+
 @dataclass
 class ManifestCounts:
     published: int
