@@ -23,7 +23,7 @@ SPAN = 256
 # A run of white space is taken whole, from its first character only, so that long runs
 # are passed once.
 _BREAK = (
-    r"(?<![\x20\x09-\x0D])"
+    r"(?=[\x20\x09-\x0D])(?<![\x20\x09-\x0D])"
     r"(?:(?<=[.!?…][\"'”’)\]]{0,3})[\x20\x09][\x20\x09-\x0D]*+"
     r"|[\x20\x09\x0B-\x0D]*+\n[\x20\x09-\x0D]*+)"
 )
