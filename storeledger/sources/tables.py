@@ -109,9 +109,8 @@ def read_alerts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _read(spark: SparkSession, root: str, kind: Kind) -> DataFrame:
-    root = root.rstrip("/")
-    output = root.removesuffix(f"/{kind.path}")
-    if root != output and storage.exists(spark, f"{output}/{ledger.UPLOADS}"):
+    output = _output(spark, root, kind)
+    if output:
         return spark.table(synced(spark, output, kind))
     reader = spark.read.schema(kind.schema)
     for option, value in kind.options:
@@ -143,12 +142,25 @@ def create_table(
 
 
 def create_good_data_table(spark: SparkSession, name: str, root: str) -> None:
-    """Catalogue entry over a good_data folder; `refresh_partitions` adds new folders."""
+    """Catalogue entry over a good_data folder; `refresh_partitions` adds what is there."""
     create_table(spark, name, root, GOOD_DATA)
 
 
-def refresh_partitions(spark: SparkSession, name: str) -> None:
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+def refresh_partitions(spark: SparkSession, name: str, kind: Kind = GOOD_DATA) -> None:
+    """Bring a table up to its ledger or, without one, to the folders found below its root."""
+    said = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    output = _output(spark, said["data_type"], kind)
+    if output:
+        _sync(spark, name, output, kind, ledger.commits(spark, output))
+    else:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def _output(spark: SparkSession, root: str, kind: Kind) -> str | None:
+    """The output folder that a table's root belongs to, if a ledger stands beside it."""
+    root = root.rstrip("/")
+    output = root.removesuffix(f"/{kind.path}")
+    return output if root != output and storage.exists(spark, f"{output}/{ledger.UPLOADS}") else None
 
 
 def register_partitions(
@@ -165,21 +177,31 @@ def register_partitions(
 
 
 def synced(spark: SparkSession, output: str, kind: Kind) -> str:
-    """The catalogue table of an output, brought up to the ledger's last commit.
-
-    The table keeps the time of the last commit it has seen. Only partitions that later
-    commits name, or commits of the hour before, whose clocks may differ, are looked at:
-    those that have another folder now are switched, those without rows dropped.
-    """
+    """The catalogue table of an output, brought up to the ledger's last commit."""
     output = output.rstrip("/")
-    name, root = table_name(spark, output, kind), f"{output}/{kind.path}"
+    name = table_name(spark, output, kind)
     versions = ledger.commits(spark, output)
     session = (spark.sparkContext.applicationId, name)
     there = spark.catalog.tableExists(name)
     if there and _SEEN.get(session) == versions:
         return name
     if not there:
-        create_table(spark, name, root, kind)
+        create_table(spark, name, f"{output}/{kind.path}", kind)
+    _sync(spark, name, output, kind, versions)
+    _SEEN[session] = versions
+    return name
+
+
+def _sync(
+    spark: SparkSession, name: str, output: str, kind: Kind, versions: list[str]
+) -> None:
+    """Register what stands in a table.
+
+    The table keeps the time of the last commit it has seen. Only partitions that later
+    commits name, or commits of the hour before, whose clocks may differ, are looked at:
+    those that have another folder now are switched, those without rows dropped.
+    """
+    root = f"{output}/{kind.path}"
     said = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == _SYNCED).first()
     taken = ledger.uploads(spark, output, versions).filter("status = 'success'")
     fresh = taken
@@ -216,8 +238,6 @@ def synced(spark: SparkSession, output: str, kind: Kind) -> str:
     if last:
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_properties({_SYNCED: last})})")
     spark.catalog.refreshTable(name)
-    _SEEN[session] = versions
-    return name
 
 
 def _quoted(text: str) -> str:
