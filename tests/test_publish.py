@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from storeledger.operators import health
 from storeledger.operators.verdicts import CHANGED, MISSING
 from storeledger.plans import ingest as job
 from storeledger.plans import reports, sinks
-from storeledger.sources import landing, ledger, tables
+from storeledger.sources import landing, ledger, manifest, tables
 from storeledger.streaming.arrivals import ingest_arrivals
+from storeledger.streaming.health import failure_events
 from tests.conftest import by_file, store_file
 
 NAME = "store_01_20260418.csv"
@@ -176,3 +179,40 @@ def test_changes_are_taken_once(spark, tmp_path):
     [run] = job.ingest_changes(spark, str(raw), out, arrived_by=soon)
     assert [o.store for o in run.outcomes.collect()] == ["01"]
     assert _orders(spark, out) == [("01", "ONE AGAIN"), ("02", "TWO")]
+
+
+def test_results_are_told_once(spark, tmp_path):
+    root, told = tmp_path / "results", str(tmp_path / "told")
+    one = store_file(root / "query_name=a/run_date=2026-04-18", "one.csv", "x")
+    store_file(root / "query_name=b/run_date=2026-04-18", "two.csv")
+    (root / "query_name=b/run_date=2026-04-18/two.txt").write_text("not a result")
+    news = manifest.new_results(spark, str(root), told).collect()
+    assert {(f"/{r.key}", r.size_bytes) for r in news} == {
+        (str(p), p.stat().st_size) for p in root.rglob("*.csv")
+    }
+    assert all(r.s3_uri.endswith(f"/{r.key}") for r in news)
+    assert manifest.new_results(spark, str(root), told).isEmpty()
+    store_file(one.parent, "one.csv", "x", "written again")
+    assert [r.key.rsplit("/", 1)[1] for r in manifest.new_results(spark, str(root), told).collect()] == [
+        "one.csv"
+    ]
+    counts = manifest.manifest_counts(spark, str(root))
+    assert (counts.published, counts.skipped) == (2, 1)
+
+
+def test_failed_uploads_raise_the_error_alarm(spark, tmp_path):
+    out, seen = str(tmp_path / "out"), []
+    for n in range(3):
+        store_file(tmp_path / "raw", f"store_0{n}_20260418.csv", "x", header="only")
+    store_file(tmp_path / "raw", "store_09_20260418.csv", GOOD)
+    job.ingest(spark, str(tmp_path / "raw"), out)
+    alarms = health.error_alarms(failure_events(spark, out), "ts", F.col("status") == "error")
+    query = (
+        alarms.writeStream.outputMode("complete")
+        .foreachBatch(lambda rows, _: seen.extend(rows.collect()))
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(120)
+    assert [r.errors for r in seen] == [3]
