@@ -442,7 +442,8 @@ def test_near_duplicates_of_rows_that_share_an_id(spark):
              (9, other + " more"), (9, prose(4, 90)), (8, None), (8, "")]
     docs = documents(spark, [(i, t, "s") for i, t in texts])
     rows = near_dup.near_duplicates(docs).collect()
-    got = Counter((r.doc_id, r.component_id, r.kept) for r in rows)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+    got = Counter((r.doc_id, r.component_id, r.chosen) for r in rows)
     assert got == Counter({(5, 5, True): 2, (5, 5, False): 1, (5, 4, False): 1, (6, 5, False): 1,
                            (4, 4, True): 1, (9, 5, False): 1, (9, 9, True): 1, (8, 8, True): 2})
     kept = near_dup.kept_documents(docs)
