@@ -15,6 +15,9 @@ from storeledger.functions import python_round
 from storeledger.operators import metrics
 from storeledger.operators.validate import good_rows
 
+# Blocks that a file's list of customers is gathered by.
+LIST_BLOCKS = 256
+
 
 def customer_orders(validated: DataFrame) -> DataFrame:
     """source_key, customer_id, order_count: a row per customer of each file."""
@@ -69,12 +72,16 @@ def with_customers(
 ) -> DataFrame:
     """Records with their complete orders_per_customer list, in the order of the fields.
 
-    Gathers each asked-for file's list, so ask for the files or partitions needed.
+    Gathers each asked-for file's list, so ask for the files or partitions needed. A list
+    is gathered by blocks first: a task then sorts customers, which may go to disk, and
+    never holds those of many files as objects.
     """
-    lists = customers.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("customer_id", "order_count"))).alias(
-            "orders_per_customer"
-        )
+    block = F.pmod(F.xxhash64("customer_id"), F.lit(LIST_BLOCKS)).alias("_block")
+    blocks = customers.groupBy(*keys, block).agg(
+        F.collect_list(F.struct("customer_id", "order_count")).alias("_some")
+    )
+    lists = blocks.groupBy(*keys).agg(
+        F.sort_array(F.flatten(F.collect_list("_some"))).alias("orders_per_customer")
     )
     names = [f.name for f in SUMMARY_FIELDS]
     joined = records.join(lists, list(keys), "left").withColumn(
