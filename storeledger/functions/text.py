@@ -19,9 +19,11 @@ def na_to_null(name: str) -> Column:
 def is_blank(text: Column) -> Column:
     """Null, or nothing left after stripping Unicode white space.
 
-    Stripping from the left is enough and stops at the first other character.
+    Stripping from the left is enough and stops at the first other character. A text that
+    begins with a visible ASCII character is told by comparing, far cheaper than stripping.
     """
-    return text.isNull() | (F.ltrim(text, F.lit(PYTHON_WHITESPACE)) == "")
+    visible = (text >= "!") & (text < "\x7f")
+    return text.isNull() | (~visible & (F.ltrim(text, F.lit(PYTHON_WHITESPACE)) == ""))
 
 
 def python_repr(text: Column) -> Column:

@@ -16,14 +16,20 @@ from storeledger.functions import python_repr
 
 def source_key(file_path: Column) -> Column:
     """The upload a physical file belongs to: its own path, or its folder's."""
+    mark = ".csv/part-"
     folder = F.regexp_replace(file_path, r"\.csv/part-[^/]*$", ".csv")
-    return F.when(file_path.contains(".csv/part-"), folder).otherwise(file_path)
+    # Scans ask for every row, so the usual path, with one such mark, is cut without a pattern.
+    before, behind = F.substring_index(file_path, mark, 1), F.substring_index(file_path, mark, -1)
+    usual = (F.concat(before, F.lit(mark), behind) == file_path) & ~behind.contains("/")
+    folder = F.when(usual, F.concat(before, F.lit(".csv"))).otherwise(folder)
+    return F.when(file_path.contains(mark), folder).otherwise(file_path)
 
 
 def decoded(file_path: Column) -> Column:
     """A path of `_metadata.file_path`, which is percent-encoded, as it was written."""
-    # A plus sign in such a path is a plus sign.
-    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    # A plus sign in such a path is a plus sign. A path without a percent sign is as written.
+    written = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    return F.when(file_path.contains("%"), written).otherwise(file_path)
 
 
 def object_key(path: Column) -> Column:
