@@ -27,7 +27,7 @@ def test_scan_and_fold_of_uploads_are_compiled(spark, tmp_path):
     (folder / "store_01_20240101.csv").write_text(f"{landing.USUAL_HEADER}\n{rows}\n")
     zone = landing.Landing(str(folder), dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1))
     raw = landing.raw_rows(spark, zone, landing.file_verdicts(spark, zone))
-    folded = validate.validate(raw, carry_max=("overlong",))
+    folded = validate.validate(raw, carry_max=("overlong",), staged=True)
     assert folded.count() == 8
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # Else no code is shown.
@@ -41,23 +41,25 @@ def test_scan_and_fold_of_uploads_are_compiled(spark, tmp_path):
     assert sizes and max(sizes) <= COMPILED_BYTES
 
 
-def _validated(spark):
+def _validated(spark, staged):
     texts = ", ".join(f"{c} string" for c in INPUT_COLUMNS)
     good = ("f", "1", "c", "p", "2024-01-01", "1", "2", "paid")
     rows = [good, good, ("f", "2", " ", "p", "2024-01-01", "x", "2", "paid")]
-    return validate.validate(spark.createDataFrame(rows, f"source_key string, {texts}"))
-
-
-def test_mask_is_not_shuffled_and_good_rows_are_filtered_before_the_fold(spark):
-    found = _validated(spark)
-    assert sorted((r.order_id, r.copies, r.error_mask) for r in found.collect()) == [
-        ("1", 2, 0),
-        ("2", 1, validate._bit("missing_customer_id") | validate._bit("missing_quantity")),
-    ]
-    assert "max(error_mask" not in _plan(found)
-    good = _plan(validate.good_rows(found))
-    assert 0 <= good.index("Aggregate") < good.index("Filter")
-    assert validate.good_rows(found).count() == 1
+    raw = spark.createDataFrame(rows, f"source_key string, {texts}")
+    return validate.validate(raw, staged=staged)
+
+
+def test_mask_of_a_staged_fold_is_not_shuffled_and_no_filter_moves_before_others(spark):
+    for staged in (True, False):
+        found = _validated(spark, staged)
+        assert sorted((r.order_id, r.copies, r.error_mask) for r in found.collect()) == [
+            ("1", 2, 0),
+            ("2", 1, validate._bit("missing_customer_id") | validate._bit("missing_quantity")),
+        ]
+        assert ("max(error_mask" in _plan(found)) is not staged
+        assert validate.good_rows(found).count() == 1
+    good = _plan(validate.good_rows(_validated(spark, False)))
+    assert good.index("Filter") < good.index("Aggregate")
 
 
 def test_blank_texts(spark):
