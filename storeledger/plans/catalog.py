@@ -374,8 +374,12 @@ _SAMPLED = "SELECT least(count(*), {n}) AS rows, least(count(*), {n}) AS of_tabl
 
 def _sampled(sample: DataFrame, whole: DataFrame) -> DataFrame:
     """How many rows a sample has, and how many of them the table has too."""
-    same = [sample[c].eqNullSafe(whole[c]) for c in whole.columns]
-    found = sample.join(whole.distinct(), same, "left_semi")
+    # A sample is a few rows: the table is sought for them, not shuffled.
+    few = F.broadcast(sample.select(*[F.col(c).alias(f"_{c}") for c in whole.columns]))
+    same = [F.col(f"_{c}").eqNullSafe(F.col(c)) for c in whole.columns]
+    there = whole.join(few, same, "left_semi").distinct()
+    there = there.select(*[F.col(c).alias(f"_{c}") for c in whole.columns])
+    found = sample.join(there, same, "left_semi")
     counted = found.agg(F.count(F.lit(1)).alias("of_table"))
     return sample.agg(F.count(F.lit(1)).alias("rows")).join(counted)
 
