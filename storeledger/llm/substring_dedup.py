@@ -2,8 +2,9 @@
 
 Every run of `RUN` sentences is hashed, and so is every shorter run of many words; a run
 that shorter hashed runs cover is left out, since they say the same. Runs are grouped by hash over all documents, and sentences under any occurrence but the
-first are removed. Grouping folds to the first occurrence before the shuffle, so a run
-that a third of all documents share never meets in one task.
+first are removed. Most runs stand once: they are counted by one hash, and only those that
+may repeat are carried further. Grouping folds to a count, then to the first occurrence,
+before each shuffle, so a run that a third of all documents share never meets in one task.
 """
 
 from __future__ import annotations
@@ -118,15 +119,14 @@ def substring_dedup(
         F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_mark").alias("mark"),
         F.col("span").alias("span"),
     )
-    repeated = (
-        runs.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), F.max(place).alias("final"))
-        .filter(F.col("first") != F.col("final"))
-        .select("h1", "h2", "first")
-    )
-    # Written first, so that the join shuffles both sides and a hot run can be split.
-    repeated = staged(repeated, "repeated-runs")
-    later = runs.withColumn("place", place).join(repeated, ["h1", "h2"])
+    # Half of the hash tells which runs may repeat; the count is all that is shuffled.
+    often = runs.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1")
+    # Written first, so that each join shuffles both sides and a hot run can be split.
+    often = staged(often, "repeated-hashes")
+    repeats = staged(runs.join(often, "h1", "left_semi"), "repeats")
+    firsts = repeats.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    firsts = staged(firsts, "first-runs")
+    later = repeats.withColumn("place", place).join(firsts, ["h1", "h2"])
     at = F.floor(F.col("span") / SPAN).cast("int")
     spots = later.filter(F.col("place") != F.col("first")).select(
         "_id", "_mark", F.explode(F.sequence(at, at + (F.col("span") % SPAN).cast("int") - 1))

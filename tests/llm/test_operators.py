@@ -341,6 +341,28 @@ def test_substring_dedup_of_passages_cut_inside_sentences(spark):
     assert out == {1: [], 2: [1, 2], 3: [], 4: [0, 1], 5: [], 6: []}
 
 
+def test_runs_are_counted_by_one_hash_and_told_apart_by_both(spark, monkeypatch):
+    plans, staged, runs = {}, substring_dedup.staged, substring_dedup._runs
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, name)
+
+    def colliding(*args):
+        return F.transform(runs(*args), lambda r: r.withField("h1", F.lit(0).cast("bigint")))
+
+    texts = ["A. B. C. D.", "E. F. G. H.", "B. C. D. E.", "A. B. C. D."]
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    want = {0: [], 1: [], 2: [0, 1, 2], 3: [0, 1, 2, 3]}
+    monkeypatch.setattr(substring_dedup, "staged", recorded)
+    for hashed in (runs, colliding):
+        monkeypatch.setattr(substring_dedup, "_runs", hashed)
+        assert {r.doc_id: r.removed for r in substring_dedup.substring_dedup(docs).collect()} == want
+    counted = plans["repeated-hashes"].splitlines()
+    assert any("Aggregate [h1" in line for line in counted) and "min(" not in "".join(counted)
+    assert not any("Aggregate" in line and "h2" in line for line in counted)
+
+
 # --- Exact top-k ---------------------------------------------------------------------
 
 
