@@ -15,7 +15,7 @@ from storeledger.plans import reports, sinks, storage
 from storeledger.plans.ingest import Ingested, examine, ingest, ingest_changes
 from storeledger.plans.report_batch import run_reports
 from storeledger.plans.staging import stage
-from storeledger.session import new_work_path
+from storeledger.session import bounded_tasks, new_work_path
 from storeledger.sources import landing, manifest, names, tables
 from storeledger.sources.workload import (
     CORRECTED_BELOW,
@@ -80,7 +80,8 @@ def _kept(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _KEPT or not storage.exists(spark, _KEPT[key]):
         path = new_work_path(spark, name)
-        write(path)
+        with bounded_tasks(spark):
+            write(path)
         _KEPT[key] = path
     return _KEPT[key]
 

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
+# What one task of a large job is given to read, from files or from a shuffle. A row that is
+# folded takes some ten times its stored size in memory, and every core holds its own.
+TASK_BYTES = 32 << 20
+_TASK_SIZES = (
+    "spark.sql.files.maxPartitionBytes",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+)
+_UNITS = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
+
 
 def build_session(app_name: str = "storeledger", master: str | None = None, **conf) -> SparkSession:
     """A session with adaptive execution and a UTC clock.
@@ -33,6 +44,30 @@ def build_session(app_name: str = "storeledger", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def bounded_tasks(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside the block have tasks of at most TASK_BYTES, where Spark can cut.
+
+    By Spark's own sizes a task's sorted and folded rows outgrow its share of the memory on
+    large inputs, and spill. Sizes that are set smaller stay.
+    """
+    before = {name: spark.conf.get(name) for name in _TASK_SIZES}
+    try:
+        for name, size in before.items():
+            if _bytes(size) > TASK_BYTES:
+                spark.conf.set(name, f"{TASK_BYTES}b")
+        yield
+    finally:
+        for name, size in before.items():
+            spark.conf.set(name, size)
+
+
+def _bytes(size: str) -> int:
+    """A size as Spark's settings write it."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << _UNITS[unit]
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for staged tables: `spark.checkpoint.dir` of the session.
 
