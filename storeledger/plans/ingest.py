@@ -25,7 +25,7 @@ from storeledger.contract import (
 from storeledger.operators import alerts, summary, validate, verdicts
 from storeledger.plans import sinks, storage
 from storeledger.plans.staging import stage
-from storeledger.session import new_work_path
+from storeledger.session import bounded_tasks, new_work_path
 from storeledger.sources import ledger
 from storeledger.sources.landing import Landing, changed_uploads, file_verdicts, raw_rows
 from storeledger.sources.names import decoded, object_key, source_key, with_partition
@@ -70,6 +70,18 @@ def examine(
     files. Uploads that `expected` (column source_key) names and the landing zone doesn't
     show have the outcome of one.
     """
+    with bounded_tasks(spark):
+        return _examine(spark, paths, arrived_by, threshold, source_bucket, expected)
+
+
+def _examine(
+    spark: SparkSession,
+    paths: str | list[str],
+    arrived_by: dt.datetime | None,
+    threshold: float,
+    source_bucket: str | None,
+    expected: DataFrame | None,
+) -> Ingested:
     started = time.monotonic()
     now = dt.datetime.now(dt.timezone.utc)
     if source_bucket is None:
@@ -145,7 +157,18 @@ def ingest(
     """
     run_id = run_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%fZ}"
     version = f"{run_id}-{uuid.uuid4().hex[:8]}"  # A repeated run is another version.
-    output = output.rstrip("/")
+    with bounded_tasks(spark):
+        return _ingest(spark, paths, output.rstrip("/"), run_id, version, **settings)
+
+
+def _ingest(
+    spark: SparkSession,
+    paths: str | list[str],
+    output: str,
+    run_id: str,
+    version: str,
+    **settings,
+) -> Ingested:
     found = examine(spark, paths, **settings)
     accepted = found.outcomes.filter("status = 'success'")
     latest = stage(_standing(spark, accepted, output), "latest")

@@ -215,11 +215,13 @@ def write_landing_zone(
         odd = rows.filter((F.col("store") < CORRECTED_BELOW) & (F.col("l_orderkey") % 2 == 1))
         _write_uploads(stage(odd, "corrections"), _CANONICAL, root, replace=True)
         return
-    rows = stage(rows, "landing-rows")
-    special = list(HEADER_OF_STORE)
-    _write_uploads(rows.filter(~F.col("store").isin(special)), _CANONICAL, root)
+    # Most rows are written as they are joined. Those of the other headers, a few stores, are
+    # staged, since each header has a write of its own.
+    special = F.col("store").isin(*HEADER_OF_STORE)
+    _write_uploads(rows.filter(~special), _CANONICAL, root)
+    others = stage(rows.filter(special), "landing-rows")
     for store, header in HEADER_OF_STORE.items():
-        _write_uploads(rows.filter(F.col("store") == store), header, root)
+        _write_uploads(others.filter(F.col("store") == store), header, root)
 
 
 def _write_uploads(

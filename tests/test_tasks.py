@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from conftest import store_file
 from storeledger import session
-from storeledger.plans import catalog
+from storeledger.plans import catalog, ingest
 from storeledger.session import bounded_tasks
 from storeledger.sources import workload
 
@@ -38,10 +39,21 @@ def test_sizes():
     assert {text: session._bytes(text) for text in sizes} == sizes
 
 
-def test_kept_tables_are_written_by_bounded_tasks(spark, tmp_path):
-    seen = {}
-    catalog._kept(spark, str(tmp_path), "sizes", lambda p: seen.update({p: _sizes(spark)}))
-    assert list(seen.values()) == [[session.TASK_BYTES] * 2]
+def test_ingest_and_kept_tables_are_written_by_bounded_tasks(spark, tmp_path, monkeypatch):
+    seen, stage = {}, ingest.stage
+
+    def staged(df, name):
+        seen[name] = _sizes(spark)
+        return stage(df, name)
+
+    monkeypatch.setattr(ingest, "stage", staged)
+    store_file(tmp_path / "in", "store_01_20240101.csv", "1,c,p,2024-01-01,1,2.50,paid")
+    ingest.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    path = catalog._kept(
+        spark, str(tmp_path), "sizes", lambda p: seen.update({p: _sizes(spark)})
+    )
+    assert {"validated", "customers", "superseded", path} <= set(seen)
+    assert set(map(tuple, seen.values())) == {(session.TASK_BYTES,) * 2}
 
 
 LINES = "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"
@@ -74,3 +86,20 @@ def test_columns_are_short_before_the_join_and_fail_as_before(spark, tmp_path):
     too_large = workload.sales_rows(spark, _tables(spark, tmp_path / "b", [(1, 7, 21, 1.0, 1e300)]))
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
         too_large.collect()
+
+
+def test_most_landing_rows_are_not_staged(spark, tmp_path, monkeypatch):
+    staged, stage = {}, workload.stage
+
+    def counted(df, name):
+        staged[name] = df.count()
+        return stage(df, name)
+
+    monkeypatch.setattr(workload, "stage", counted)
+    lines = [(1, p, p, 1.0, 2.0) for p in range(20)]
+    root = str(tmp_path / "zone")
+    workload.write_landing_zone(spark, _tables(spark, tmp_path / "t", lines), root)
+    assert staged == {"landing-rows": len(workload.HEADER_OF_STORE)}
+    text = spark.read.option("recursiveFileLookup", True).text(root)
+    rows = text.filter("value rlike '[0-9]'").count()
+    assert rows == 20
